@@ -98,7 +98,7 @@ def bucket_layout_revenue(spark, sf_dir):
 )
 def composite_layout_counts(spark, sf_dir):
     """Month, status and customer bucket at once; rows without a customer are left out."""
-    layout = Layout("order_date", ("order_status",), ("customer_id", 10))
+    layout = Layout("order_date", ("order_status",), ("customer_id", 4))
     _, landed = _landed(spark, plain_orders(spark, sf_dir), layout, drop_null_keys=True)
     return landed.groupBy("order_date_month", "order_status").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("order_amount").cast("double").alias("revenue")

@@ -1,16 +1,15 @@
 """A Parquet folder that keeps its versions.
 
     <root>/data/version=<n>/<partition folders>/*.parquet
-    <root>/log/parts/version=<n>      folder, kind ('add' | 'cut')
-    <root>/log/commits/version=<n>    committed_at, operation, schema, layout, replaces_all
+    <root>/log/version=<n>/*.parquet    one 'commit' row, one row per 'add' or 'cut' folder
 
 A commit writes only the partitions it changes. ``cut`` says that what earlier
 versions hold in a partition folder is gone, ``add`` that this version holds rows there; the
 content of a version is every ``add`` with no later ``cut``. Changing 1 GB of a
 100 TB table thus rewrites the touched partitions, not the table.
 
-The commit row is written last and makes the version visible; folders of a commit that
-died earlier are overwritten by the next one. One writer per table at a time.
+The log is written last and makes the version visible; data of a commit that died before
+is overwritten by the next one. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,20 +33,19 @@ from tidemark.operators.merge import (
     update_where,
 )
 
-ADD, CUT = "add", "cut"
-PARTS = T.StructType(
-    [T.StructField("folder", T.StringType()), T.StructField("kind", T.StringType())]
-)
-COMMITS = T.StructType(
+COMMIT, ADD, CUT = "commit", "add", "cut"
+LOG = T.StructType(
     [
+        T.StructField("kind", T.StringType()),
+        T.StructField("folder", T.StringType()),
         T.StructField("committed_at", T.TimestampNTZType()),
         T.StructField("operation", T.StringType()),
         T.StructField("table_schema", T.StringType()),
         T.StructField("layout", T.StringType()),
         T.StructField("replaces_all", T.BooleanType()),
+        T.StructField("version", T.LongType()),
     ]
 )
-VERSION = T.StructField("version", T.LongType())
 FILE = ["file_path", "file_size_in_bytes"]
 
 
@@ -76,7 +74,8 @@ class VersionedTable:
 
     def commits(self) -> DataFrame:
         """The commit log: version, committed_at, operation."""
-        return self._log("commits", COMMITS).select("version", "committed_at", "operation")
+        commits = self._log().where(F.col("kind") == COMMIT)
+        return commits.select("version", "committed_at", "operation")
 
     def latest_version(self) -> int:
         return latest_version(self.commits())
@@ -166,15 +165,14 @@ class VersionedTable:
         numbered = df.withColumn("version", (batch + first).cast("long"))
         fitted = self._fitted(numbered, state.schema, ["version"])
         rows = gathered(state.layout.add(fitted), state.layout, ["version"])
-        for n in range(first, first + batches):
+        numbers = list(range(first, first + batches))
+        for n in numbers:
             self._clear(n)
         rows.write.mode("append").partitionBy("version", *state.layout.columns).parquet(
             f"{self.root}/data"
         )
-        for n in range(first, first + batches):
-            self._log_folders(n, state.schema)
-            self._log_commit(n, "append", state.schema, state.layout, committed_at)
-        return first + batches - 1
+        self._log_commits(numbers, "append", state.schema, state.layout, committed_at)
+        return numbers[-1]
 
     def overwrite(
         self,
@@ -308,7 +306,8 @@ class VersionedTable:
     # ---- inner workings ----------------------------------------------------
 
     def _state(self, version: int | None = None) -> _State:
-        rows = self._log("commits", COMMITS).orderBy("version").collect()
+        log = self._log()
+        rows = log.where(F.col("kind") == COMMIT).orderBy("version").collect()
         if not rows:
             raise ValueError("the table has no versions")
         if version is None:
@@ -317,12 +316,11 @@ class VersionedTable:
         if not rows or rows[-1]["version"] != version:
             raise ValueError(f"version {version} was never committed")
         floor = max([r["version"] for r in rows if r["replaces_all"]], default=0)
-        parts = self._log("parts", PARTS).where(F.col("version").between(floor, version))
-        cuts = parts.where(F.col("kind") == CUT).groupBy("folder").agg(F.max("version").alias("cut"))
+        cut = F.max(F.when(F.col("kind") == CUT, F.col("version"))).over(Window.partitionBy("folder"))
         live = (
-            parts.where(F.col("kind") == ADD)
-            .join(cuts, "folder", "left")
-            .where(F.col("version") >= F.coalesce(F.col("cut"), F.lit(0)))
+            log.where((F.col("kind") != COMMIT) & F.col("version").between(floor, version))
+            .select("version", "folder", "kind", cut.alias("cut"))
+            .where((F.col("kind") == ADD) & (F.col("version") >= F.coalesce("cut", F.lit(0))))
             .select("version", "folder")
         )
         # One row per live folder: metadata, like the file listing Spark itself keeps.
@@ -386,8 +384,7 @@ class VersionedTable:
 
     def _alter(self, state, schema, layout, committed_at) -> int:
         n = state.version + 1
-        self._write_parts(n, self.spark.createDataFrame([], PARTS))
-        self._log_commit(n, "alter", schema, layout, committed_at)
+        self._write_log([_commit_row(n, "alter", schema, layout, committed_at, False)])
         return n
 
     def _fitted(self, df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
@@ -426,45 +423,71 @@ class VersionedTable:
             .partitionBy(*layout.columns)
             .parquet(self._data(n))
         )
-        self._log_folders(n, schema, cuts, cut_written)
-        self._log_commit(n, operation, schema, layout, committed_at, replaces_all)
+        self._log_commits(
+            [n], operation, schema, layout, committed_at, replaces_all, cuts, cut_written
+        )
         return n
 
-    def _log_folders(self, n, schema, cuts=(), cut_written=False) -> None:
-        """Log the folders a commit wrote (one row per folder comes from one per file) and cut."""
-        files = self.spark.read.schema(schema).parquet(self._data(n))
-        written = files.select(self._folder(F.col("_metadata.file_path")).alias("folder")).distinct()
+    def _log_commits(
+        self,
+        numbers: Sequence[int],
+        operation: str,
+        schema: T.StructType,
+        layout: Layout,
+        committed_at: dt.datetime | None,
+        replaces_all: bool = False,
+        cuts: Sequence[str] = (),
+        cut_written: bool = False,
+    ) -> None:
+        """Make written versions visible, with the folders found in their data."""
+        file = F.col("_metadata.file_path")
+        number = F.regexp_extract(file, r".*/data/version=(\d+)/", 1).cast("long")
+        written = (
+            self.spark.read.schema(schema)
+            .option("basePath", f"{self.root}/data")
+            .parquet(*[self._data(n) for n in numbers])
+            .select(number.alias("version"), self._folder(file).alias("folder"))
+            .distinct()
+        )
         kinds = F.array(*[F.lit(k) for k in ([ADD, CUT] if cut_written else [ADD])])
-        parts = written.select("folder", F.explode(kinds).alias("kind"))
-        self._write_parts(n, parts.union(self.spark.createDataFrame([(c, CUT) for c in cuts], PARTS)))
-
-    def _write_parts(self, n: int, parts: DataFrame) -> None:
-        parts.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/log/parts/version={n}")
-
-    def _log_commit(self, n, operation, schema, layout, committed_at, replaces_all=False) -> None:
-        """The row that makes a version visible."""
-        moment = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (moment, operation, schema.json(), _layout_text(layout), replaces_all)
-        commit = self.spark.createDataFrame([row], COMMITS).coalesce(1)
-        commit.write.mode("overwrite").parquet(f"{self.root}/log/commits/version={n}")
+        folders = written.select("version", "folder", F.explode(kinds).alias("kind"))
+        rows = [_commit_row(n, operation, schema, layout, committed_at, replaces_all) for n in numbers]
+        rows += [(CUT, folder, None, None, None, None, None, numbers[0]) for folder in cuts]
+        self._write_log(rows, folders)
+
+    def _write_log(self, rows: list[tuple], folders: DataFrame | None = None) -> None:
+        entries = self.spark.createDataFrame(rows, LOG)
+        if folders is not None:
+            entries = entries.unionByName(folders, allowMissingColumns=True)
+        (
+            entries.coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("version")
+            .parquet(f"{self.root}/log")
+        )
 
     def _clear(self, n: int) -> None:
-        """An empty data folder for a version, whatever a failed commit left there."""
+        """Empty the data folder that a failed commit may have left for a version."""
         nothing = T.StructType([T.StructField("none", T.IntegerType())])
-        empty = self.spark.createDataFrame([], nothing)
-        empty.write.mode("overwrite").parquet(self._data(n))
+        if self._read_if_there(self._data(n), nothing) is not None:
+            empty = self.spark.createDataFrame([], nothing)
+            empty.write.mode("overwrite").parquet(self._data(n))
 
     def _data(self, n: int) -> str:
         return f"{self.root}/data/version={n}"
 
-    def _log(self, name: str, schema: T.StructType) -> DataFrame:
-        full = T.StructType([*schema.fields, VERSION])
+    def _log(self) -> DataFrame:
+        found = self._read_if_there(f"{self.root}/log", LOG)
+        return self.spark.createDataFrame([], LOG) if found is None else found
+
+    def _read_if_there(self, path: str, schema: T.StructType) -> DataFrame | None:
         try:
-            return self.spark.read.schema(full).parquet(f"{self.root}/log/{name}")
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], full)
+            return None
 
 
 class _State:
@@ -498,6 +521,11 @@ def version_at(commits: DataFrame, moment: dt.datetime) -> int:
     return top[0]["version"]
 
 
+def _commit_row(n, operation, schema, layout, committed_at, replaces_all) -> tuple:
+    moment = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return (COMMIT, None, moment, operation, schema.json(), _layout_text(layout), replaces_all, n)
+
+
 def _layout_text(layout: Layout) -> str:
     return json.dumps([layout.month_of, list(layout.identity), layout.bucket])
 
