@@ -151,25 +151,26 @@ def empty_clone_append(spark, sf_dir):
 def _batched(spark, sf_dir):
     orders = plain_orders(spark, sf_dir)
     root = work_folder(spark, "batched")
-    batched = VersionedTable.create(empty_like(orders), root, BY_MONTH, VERSION_1_AT)
+    by_status = Layout(identity=("order_status",))
+    batched = VersionedTable.create(empty_like(orders), root, by_status, VERSION_1_AT)
     batched.append_in_batches(orders, batch_of("order_id", 10), 10)
     return batched
 
 
 @query(
     PLAIN_SQL
-    + f"""
-    select {month_sql("order_date")} as order_date_month, count(*)::bigint as orders,
-           sum(order_amount)::double as revenue, 10::bigint as appends
-    from plain group by all"""
+    + """
+    select order_status, count(*)::bigint as orders, sum(order_amount)::double as revenue,
+           10::bigint as appends
+    from plain group by order_status"""
 )
 def batched_append_total(spark, sf_dir):
     """Ten appends cut by key hash, one commit each."""
     batched = _batched(spark, sf_dir)
     appends = batched.commits().where(F.col("operation") == "append").count()
     return (
-        batched.as_of(with_layout=True)
-        .groupBy("order_date_month")
+        batched.as_of()
+        .groupBy("order_status")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("order_amount").cast("double").alias("revenue"))
         .withColumn("appends", F.lit(appends).cast("bigint"))
     )
