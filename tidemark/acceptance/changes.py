@@ -188,7 +188,8 @@ def version_history(spark, sf_dir):
     from s2 join s1 using (o_orderkey) where s1.o_orderstatus <> s2.o_orderstatus"""
 )
 def compare_versions(spark, sf_dir):
-    found = compare(version_1(spark, sf_dir), version_2(spark, sf_dir), "o_orderkey", "o_orderstatus")
+    old, current = version_1(spark, sf_dir), version_2(spark, sf_dir)
+    found = compare(old, current, "o_orderkey", "o_orderstatus", dedup_by=None)
     return found.orderBy("o_orderkey")
 
 

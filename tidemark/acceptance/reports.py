@@ -101,14 +101,12 @@ def status_distribution(spark, sf_dir):
         F.sum("order_amount").cast("double").alias("amount"),
         F.max("updated_at").alias("last_update"),
     )
-    total = groups.agg(F.sum("orders").alias("total"))
-    # One row, so the broadcast is bounded.
-    shares = groups.join(F.broadcast(total))
-    return shares.select(
+    total = groups.agg(F.sum("orders")).scalar()
+    return groups.select(
         "order_status",
         "payment_status",
         "orders",
-        F.round(F.col("orders") / F.col("total"), 6).alias("share"),
+        F.round(F.col("orders") / total, 6).alias("share"),
         F.round(F.col("amount") / F.col("orders"), 2).alias("avg_amount"),
         "last_update",
     )

@@ -220,8 +220,20 @@ def version_history(
     )
 
 
-def compare_versions(old: DataFrame, current: DataFrame, key: str, column: str) -> DataFrame:
-    """Rows held by both versions whose column differs; NULL on a side is no difference."""
+def compare_versions(
+    old: DataFrame,
+    current: DataFrame,
+    key: str,
+    column: str,
+    dedup_by: str | None = "updated_at",
+) -> DataFrame:
+    """Rows held by both versions whose column differs; NULL on a side is no difference.
+
+    As in ``snapshot_diff``, None for ``dedup_by`` is for keys known not to repeat.
+    """
+    if dedup_by is not None:
+        old = latest_per_key(old, [key], dedup_by, joins_on_keys=True)
+        current = latest_per_key(current, [key], dedup_by, joins_on_keys=True)
     before = old.select(key, F.col(column).alias(f"old_{column}"))
     now = current.select(key, F.col(column).alias(f"current_{column}"))
     return (

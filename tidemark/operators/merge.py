@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SOURCE = "__source"
 _COPY = "__copy"
 _ACTION = "__action"
 _KEY = "__key"
@@ -128,7 +127,9 @@ def merge_into(
 
 def _matched_part(target, source, on, clauses, source_unique):
     # A NULL key matches nothing and would only gather in one task.
-    rows = source.dropna(subset=on)
+    rows = source
+    for k in on:
+        rows = rows.where(F.col(k).isNotNull())
     if not source_unique:
         # Two rows of a key are enough to prove that it repeats. Partitioning by a
         # struct leaves the join its own exchange, which can be split when skewed.
@@ -136,13 +137,8 @@ def _matched_part(target, source, on, clauses, source_unique):
         rows = rows.withColumn(_COPY, F.row_number().over(window)).where(F.col(_COPY) <= 2)
     else:
         rows = rows.withColumn(_COPY, F.lit(1))
-    packed = rows.select(
-        *[F.col(k).alias(f"{_KEY}{i}") for i, k in enumerate(on)],
-        _COPY,
-        F.struct(*source.columns).alias("s"),
-    )
-    condition = [F.col(f"t.{k}") == F.col(f"{_KEY}{i}") for i, k in enumerate(on)]
-    joined = target.alias("t").join(packed, condition, "left")
+    same_key = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on]
+    joined = target.alias("t").join(rows.alias("s"), same_key, "left")
 
     hit = F.col(_COPY).isNotNull()
     action = F.lit(None).cast("int")
@@ -176,7 +172,6 @@ def _matched_part(target, source, on, clauses, source_unique):
 def _inserted_part(target, source, on, clauses, source_unique):
     held = _held_keys(target, source, on, source_unique)
     lone = source.join(held, on, "left_anti").select(*source.columns)
-    packed = lone.select(F.struct(*source.columns).alias("s"))
     chosen = F.lit(None).cast("int")
     for place, clause in reversed(list(enumerate(clauses))):
         holds = F.lit(True) if clause.when is None else clause.when
@@ -189,7 +184,7 @@ def _inserted_part(target, source, on, clauses, source_unique):
             if f.name in given:
                 value = F.when(F.col(_ACTION) == place, given[f.name].cast(f.dataType)).otherwise(value)
         columns.append(value.alias(f.name))
-    acted = packed.withColumn(_ACTION, chosen).where(F.col(_ACTION).isNotNull())
+    acted = lone.alias("s").withColumn(_ACTION, chosen).where(F.col(_ACTION).isNotNull())
     return acted.select(*columns)
 
 
@@ -205,7 +200,10 @@ def _held_keys(target, source, on, source_unique):
 
 
 def _distinct_keys(df, on):
-    return df.select(*on).dropna(subset=list(on)).distinct()
+    keys = df.select(*on).distinct()
+    for k in on:
+        keys = keys.where(F.col(k).isNotNull())
+    return keys
 
 
 def _values(clause, source, target, keys):
@@ -224,7 +222,8 @@ def provably_small(df: DataFrame) -> bool:
     """
     spark = df.sparkSession
     limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    # A new frame, because a frame keeps the estimate it was first asked for.
+    size = df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= limit
 
 

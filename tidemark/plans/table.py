@@ -234,11 +234,15 @@ class VersionedTable:
     def update_where(
         self, predicate: Column, values: Mapping[str, object], committed_at: dt.datetime | None = None
     ) -> int:
+        layout = self._state().layout
+        stays = not {layout.month_of, *layout.identity, layout.bucket and layout.bucket[0]} & set(values)
         return self._rewrite(
             lambda rows: rows.where(predicate),
             lambda rows: update_where(rows, predicate, values),
             "update",
             committed_at,
+            # Rows that stay in their folder can be written by the task that read them.
+            gather=not stays,
         )
 
     def delete_matching(
@@ -372,6 +376,7 @@ class VersionedTable:
         change: Callable[[DataFrame], DataFrame],
         operation: str,
         committed_at: dt.datetime | None,
+        gather: bool = True,
     ) -> int:
         """Replace the folders in which ``touching`` finds a row by their changed content."""
         state = self._state()
@@ -380,7 +385,9 @@ class VersionedTable:
         found = {r[0] for r in hits.collect()}
         rows = self._read(state, {(v, f) for v, f in state.live if f in found})
         rows = rows.select(*state.schema.fieldNames())
-        return self._commit(change(rows), operation, state.layout, committed_at, cuts=sorted(found))
+        return self._commit(
+            change(rows), operation, state.layout, committed_at, cuts=sorted(found), gather=gather
+        )
 
     def _alter(self, state, schema, layout, committed_at) -> int:
         n = state.version + 1
@@ -408,6 +415,7 @@ class VersionedTable:
         cuts: Sequence[str] = (),
         replaces_all: bool = False,
         cut_written: bool = False,
+        gather: bool = True,
     ) -> int:
         if self.exists():
             state = self._state()
@@ -416,7 +424,9 @@ class VersionedTable:
         else:
             n, schema = 1, df.schema
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-        rows = gathered(layout.add(self._fitted(df, schema)), layout)
+        rows = layout.add(self._fitted(df, schema))
+        if gather:
+            rows = gathered(rows, layout)
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
@@ -440,12 +450,14 @@ class VersionedTable:
         cut_written: bool = False,
     ) -> None:
         """Make written versions visible, with the folders found in their data."""
-        file = F.col("_metadata.file_path")
+        file = F.col("file")
         number = F.regexp_extract(file, r".*/data/version=(\d+)/", 1).cast("long")
         written = (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/data")
             .parquet(*[self._data(n) for n in numbers])
+            .select(F.col("_metadata.file_path").alias("file"))
+            .distinct()
             .select(number.alias("version"), self._folder(file).alias("folder"))
             .distinct()
         )
