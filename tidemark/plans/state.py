@@ -100,9 +100,10 @@ class Watermarks:
 
 
 def last_processed(control: DataFrame, pipeline: str) -> DataFrame:
-    """The newest completed log row of a pipeline, or none."""
+    """The newest completed log row of a pipeline, or none; of equal times the later version."""
     mine = (F.col("pipeline_name") == pipeline) & (F.col("status") == COMPLETED)
-    return control.where(mine).orderBy(F.col("last_processed_at").desc()).limit(1)
+    version = F.col("last_processed_snapshot_id").try_cast("bigint")
+    return control.where(mine).orderBy(F.col("last_processed_at").desc(), version.desc()).limit(1)
 
 
 def bootstrap_version(commits: DataFrame, target: DataFrame, loaded_at: str = "updated_at") -> int:

@@ -481,10 +481,16 @@ class VersionedTable:
 
     def _clear(self, n: int) -> None:
         """Empty the data folder that a failed commit may have left for a version."""
-        nothing = T.StructType([T.StructField("none", T.IntegerType())])
+        nothing = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
         if self._read_if_there(self._data(n), nothing) is not None:
             empty = self.spark.createDataFrame([], nothing)
-            empty.write.mode("overwrite").parquet(self._data(n))
+            # A partitioned write of no rows leaves no file behind.
+            (
+                empty.write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy("b")
+                .parquet(self._data(n))
+            )
 
     def _data(self, n: int) -> str:
         return f"{self.root}/data/version={n}"
