@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import ntz
-from tidemark.operators.merge import insert_if_absent, upsert
-from tidemark.plans.table import VersionedTable, version_at
+from tidemark.operators.dedup import latest_per_key
+from tidemark.plans.table import version_at
 
 # Where a pipeline starts, and the states it can be in.
 BEGINNING = dt.datetime(1900, 1, 1)
@@ -27,6 +28,7 @@ WATERMARKS = T.StructType(
         T.StructField("updated_at", T.TimestampNTZType()),
     ]
 )
+WATERMARK_LOG = T.StructType([*WATERMARKS.fields, T.StructField("entry", T.LongType())])
 CONTROL = T.StructType(
     [
         T.StructField("pipeline_name", T.StringType()),
@@ -67,22 +69,22 @@ def newer_rows(
 
 
 class Watermarks:
-    """One row per pipeline, kept as a small table with versions."""
+    """The watermark of each pipeline, as an append-only log whose latest row counts."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.table = VersionedTable(spark, root)
-        if not self.table.exists():
-            VersionedTable.create(spark.createDataFrame([], WATERMARKS), root)
+        self.root = root
+        ensure_folder(spark, root, WATERMARK_LOG)
 
     def rows(self) -> DataFrame:
-        return self.table.as_of()
+        """One row per pipeline."""
+        log = self.spark.read.schema(WATERMARK_LOG).parquet(self.root)
+        return latest_per_key(log, ["pipeline_name"], "entry").drop("entry")
 
     def seed(self, pipeline: str, at: dt.datetime | None = None) -> None:
         """A first row for a pipeline that has none."""
-        row = (pipeline, BEGINNING, "initial", INITIALIZED, at or now())
-        fresh = self.spark.createDataFrame([row], WATERMARKS)
-        self.table.overwrite(insert_if_absent(self.rows(), fresh, ["pipeline_name"]))
+        if not self.rows().where(F.col("pipeline_name") == pipeline).take(1):
+            self.set(pipeline, BEGINNING, "initial", INITIALIZED, at)
 
     def get(self, pipeline: str) -> dt.datetime:
         return watermark_of(self.rows(), pipeline).first()["last_watermark"]
@@ -95,8 +97,22 @@ class Watermarks:
         status: str,
         at: dt.datetime | None = None,
     ) -> None:
-        row = self.spark.createDataFrame([(pipeline, watermark, run_id, status, at or now())], WATERMARKS)
-        self.table.overwrite(upsert(self.rows(), row, ["pipeline_name"], source_unique=True))
+        row = (pipeline, watermark, run_id, status, at or now(), time.time_ns())
+        append_row(self.spark, row, WATERMARK_LOG, self.root)
+
+
+def ensure_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty Parquet folder unless there is one."""
+    try:
+        spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([], schema).coalesce(1).write.parquet(path)
+
+
+def append_row(spark: SparkSession, row: tuple, schema: T.StructType, path: str) -> None:
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
 
 
 def last_processed(control: DataFrame, pipeline: str) -> DataFrame:
@@ -120,12 +136,7 @@ class ControlLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        try:
-            self.rows()
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            spark.createDataFrame([], CONTROL).write.parquet(root)
+        ensure_folder(spark, root, CONTROL)
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(CONTROL).parquet(self.root)
@@ -138,4 +149,4 @@ class ControlLog:
         self, pipeline: str, source: str, target: str, version: int, at: dt.datetime | None = None
     ) -> None:
         row = (pipeline, source, target, str(version), at or now(), COMPLETED)
-        self.spark.createDataFrame([row], CONTROL).coalesce(1).write.mode("append").parquet(self.root)
+        append_row(self.spark, row, CONTROL, self.root)

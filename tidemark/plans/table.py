@@ -66,7 +66,9 @@ class VersionedTable:
     ) -> VersionedTable:
         """A new table whose first version holds ``df``."""
         table = cls(df.sparkSession, root)
-        table._commit(df, "create", layout or Layout(), committed_at, replaces_all=True)
+        if table.exists():
+            raise ValueError(f"{root} already holds a table")
+        table._commit(None, df, "create", layout or Layout(), committed_at, replaces_all=True)
         return table
 
     def exists(self) -> bool:
@@ -139,22 +141,19 @@ class VersionedTable:
 
     def files(self, version: int | None = None, parts: Sequence[str] = ()) -> DataFrame:
         """One row per live file: partition, path, bytes, records."""
-        state = self._state(version)
-        return (
-            self._read(state, state.live, with_file=True)
-            .groupBy(*parts, "file_path", "file_size_in_bytes")
-            .agg(F.count(F.lit(1)).alias("record_count"))
-        )
+        return self._files(self._state(version), parts)
 
     def file_stats(self, version: int | None = None) -> DataFrame:
         """File count, mean size and records of each partition of the present layout."""
-        parts = self._state(version).layout.columns
-        return partition_file_stats(self.files(version, parts), parts)
+        state = self._state(version)
+        parts = state.layout.columns
+        return partition_file_stats(self._files(state, parts), parts)
 
     # ---- commits -----------------------------------------------------------
 
     def append(self, df: DataFrame, committed_at: dt.datetime | None = None) -> int:
-        return self._commit(df, "append", self._state().layout, committed_at)
+        state = self._state()
+        return self._commit(state, df, "append", state.layout, committed_at)
 
     def append_in_batches(
         self, df: DataFrame, batch: Column, batches: int, committed_at: dt.datetime | None = None
@@ -182,15 +181,16 @@ class VersionedTable:
         operation: str = "overwrite",
     ) -> int:
         """Replace the whole content."""
-        layout = layout or self._state().layout
-        return self._commit(df, operation, layout, committed_at, replaces_all=True)
+        state = self._state()
+        layout = layout or state.layout
+        return self._commit(state, df, operation, layout, committed_at, replaces_all=True)
 
     def overwrite_partitions(self, df: DataFrame, committed_at: dt.datetime | None = None) -> int:
         """Replace the partitions that occur in ``df``, whole, and no others."""
         state = self._state()
         if any(state.layouts[v] != state.layout for v, _ in state.live):
             raise ValueError("older folders use another layout: rewrite the table first")
-        return self._commit(df, "overwrite", state.layout, committed_at, cut_written=True)
+        return self._commit(state, df, "overwrite", state.layout, committed_at, cut_written=True)
 
     def add_columns(self, columns: Mapping[str, str], committed_at: dt.datetime | None = None) -> int:
         """Nullable columns from now on; no data is rewritten."""
@@ -223,6 +223,7 @@ class VersionedTable:
             source.count()  # measures its size, which decides whether it is broadcast
             keys = source.select(*on).distinct()
             return self._rewrite(
+                self._state(),
                 lambda rows: rows.join(keys, list(on), "left_semi"),
                 lambda rows: merge_into(rows, source, on, matched, not_matched, source_unique),
                 "merge",
@@ -234,9 +235,11 @@ class VersionedTable:
     def update_where(
         self, predicate: Column, values: Mapping[str, object], committed_at: dt.datetime | None = None
     ) -> int:
-        layout = self._state().layout
+        state = self._state()
+        layout = state.layout
         stays = not {layout.month_of, *layout.identity, layout.bucket and layout.bucket[0]} & set(values)
         return self._rewrite(
+            state,
             lambda rows: rows.where(predicate),
             lambda rows: update_where(rows, predicate, values),
             "update",
@@ -249,6 +252,7 @@ class VersionedTable:
         self, keys: DataFrame, on: Sequence[str], committed_at: dt.datetime | None = None
     ) -> int:
         return self._rewrite(
+            self._state(),
             lambda rows: rows.join(keys.select(*on).distinct(), list(on), "left_semi"),
             lambda rows: delete_matching(rows, keys, on),
             "delete",
@@ -261,7 +265,7 @@ class VersionedTable:
         """Rewrite partitions that hold several files of less than the target size on average."""
         state = self._state()
         sizes = (
-            self.files()
+            self._files(state)
             .groupBy(self._folder(F.col("file_path")).alias("folder"))
             .agg(F.count(F.lit(1)).alias("files"), F.avg("file_size_in_bytes").alias("mean"))
         )
@@ -275,7 +279,9 @@ class VersionedTable:
         before = self.spark.conf.get(key, None)
         self.spark.conf.set(key, str(target_file_bytes))
         try:
-            return self._commit(rows, "compact", state.layout, committed_at, cuts=sorted(folders))
+            return self._commit(
+                state, rows, "compact", state.layout, committed_at, cuts=sorted(folders)
+            )
         finally:
             self.spark.conf.unset(key) if before is None else self.spark.conf.set(key, before)
 
@@ -365,13 +371,20 @@ class VersionedTable:
                 )
         return whole
 
+    def _files(self, state: _State, parts: Sequence[str] = ()) -> DataFrame:
+        return (
+            self._read(state, state.live, with_file=True)
+            .groupBy(*parts, *FILE)
+            .agg(F.count(F.lit(1)).alias("record_count"))
+        )
+
     def _folder(self, file_path: Column) -> Column:
         """The partition folder below ``version=<n>`` of a data file."""
-        plain = F.url_decode(F.regexp_replace(file_path, r"\+", "%2B"))
-        return F.regexp_extract(plain, r".*/data/version=\d+/(?:(.*)/)?[^/]+$", 1)
+        return F.regexp_extract(_decoded(file_path), r".*/data/version=\d+/(?:(.*)/)?[^/]+$", 1)
 
     def _rewrite(
         self,
+        state: _State,
         touching: Callable[[DataFrame], DataFrame],
         change: Callable[[DataFrame], DataFrame],
         operation: str,
@@ -379,14 +392,13 @@ class VersionedTable:
         gather: bool = True,
     ) -> int:
         """Replace the folders in which ``touching`` finds a row by their changed content."""
-        state = self._state()
         hits = touching(self._read(state, state.live, with_file=True))
         hits = hits.select(self._folder(F.col("file_path")).alias("folder")).distinct()
         found = {r[0] for r in hits.collect()}
         rows = self._read(state, {(v, f) for v, f in state.live if f in found})
         rows = rows.select(*state.schema.fieldNames())
         return self._commit(
-            change(rows), operation, state.layout, committed_at, cuts=sorted(found), gather=gather
+            state, change(rows), operation, state.layout, committed_at, cuts=sorted(found), gather=gather
         )
 
     def _alter(self, state, schema, layout, committed_at) -> int:
@@ -408,6 +420,7 @@ class VersionedTable:
 
     def _commit(
         self,
+        state: _State | None,
         df: DataFrame,
         operation: str,
         layout: Layout,
@@ -417,12 +430,8 @@ class VersionedTable:
         cut_written: bool = False,
         gather: bool = True,
     ) -> int:
-        if self.exists():
-            state = self._state()
-            n = state.version + 1
-            schema = df.schema if replaces_all else state.schema
-        else:
-            n, schema = 1, df.schema
+        n = 1 if state is None else state.version + 1
+        schema = df.schema if replaces_all else state.schema
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
         rows = layout.add(self._fitted(df, schema))
         if gather:
@@ -450,17 +459,20 @@ class VersionedTable:
         cut_written: bool = False,
     ) -> None:
         """Make written versions visible, with the folders found in their data."""
-        file = F.col("file")
-        number = F.regexp_extract(file, r".*/data/version=(\d+)/", 1).cast("long")
-        written = (
+        # Only footers are read: a row gives the end of its path, "version=<n>/<folder>".
+        depth = len(layout.columns) + 1
+        tail = F.substring_index("_metadata.file_path", "/", -(depth + 1))
+        found = (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/data")
             .parquet(*[self._data(n) for n in numbers])
-            .select(F.col("_metadata.file_path").alias("file"))
-            .distinct()
-            .select(number.alias("version"), self._folder(file).alias("folder"))
+            .select(F.substring_index(tail, "/", depth).alias("tail"))
             .distinct()
         )
+        number = F.regexp_extract("tail", r"^version=(\d+)", 1).cast("long")
+        written = found.select(
+            number.alias("version"), _decoded(F.regexp_extract("tail", "^[^/]*/?(.*)$", 1)).alias("folder")
+        )
         kinds = F.array(*[F.lit(k) for k in ([ADD, CUT] if cut_written else [ADD])])
         folders = written.select("version", "folder", F.explode(kinds).alias("kind"))
         rows = [_commit_row(n, operation, schema, layout, committed_at, replaces_all) for n in numbers]
@@ -539,6 +551,11 @@ def version_at(commits: DataFrame, moment: dt.datetime) -> int:
     return top[0]["version"]
 
 
+def _decoded(path: Column) -> Column:
+    """A file path as the file system spells it; in ``_metadata`` it is URL-encoded."""
+    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
+
+
 def _commit_row(n, operation, schema, layout, committed_at, replaces_all) -> tuple:
     moment = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return (COMMIT, None, moment, operation, schema.json(), _layout_text(layout), replaces_all, n)
