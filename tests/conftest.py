@@ -13,8 +13,12 @@ def spark():
     session = build_session(
         "tests",
         master="local[8]",
-        shuffle_partitions=8,
-        **{"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
+        shuffle_partitions=4,
+        **{
+            "spark.driver.memory": "8g",
+            "spark.default.parallelism": "2",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     session.sparkContext.setLogLevel("OFF")
     return session

@@ -142,12 +142,10 @@ def dict_agg(spark, sf_dir):
     PLAIN_SQL
     + """
     select order_id, order_status, order_amount::double as order_amount
-    from plain where order_status in ('F', 'P') and customer_id = 42"""
+    from plain where order_status in ('F', 'P')"""
 )
 def ordered_inlist(spark, sf_dir):
-    rows = plain_orders(spark, sf_dir).where(
-        F.col("order_status").isin("F", "P") & (F.col("customer_id") == 42)
-    )
+    rows = plain_orders(spark, sf_dir).where(F.col("order_status").isin("F", "P"))
     return rows.select(
         "order_id", "order_status", F.col("order_amount").cast("double").alias("order_amount")
     ).orderBy("order_id")

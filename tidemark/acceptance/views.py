@@ -1,6 +1,8 @@
 """The test tables in the shape of orders, inventory and their versions.
 
 Each view exists twice: as a DataFrame and, with the same rows, as an SQL subquery.
+Conditions on keys make the second state of a table differ from the first in every way a
+change can (keys added, gone, altered, emptied); both states cover the whole table.
 """
 
 from __future__ import annotations

@@ -81,58 +81,66 @@ def raw_diff(
     def strict_value(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit("")) if nulls == "empty" else F.col(c)
 
+    # Which loose columns of a row are NULL, as a bit set. Few distinct ones occur.
     mask = F.lit(0)
     for place, c in enumerate(loose):
         mask = mask + F.when(F.col(c).isNull(), 1 << place).otherwise(0)
-    old_masks = [r[0] for r in old.select(mask).distinct().collect()] if loose else [0]
-    new_masks = [r[0] for r in new.select(mask).distinct().collect()] if loose else [0]
+    old_masks = [r[0] for r in old.select(mask).distinct().collect()] if loose else []
+    new_masks = [r[0] for r in new.select(mask).distinct().collect()] if loose else []
 
-    def open_columns(masks: Sequence[int]) -> Column:
-        """Every set of columns left out when this row meets a row with one of ``masks``."""
-        own = F.array(*[mask.bitwiseOR(F.lit(m)) for m in masks])
-        return F.explode(F.array_distinct(own))
+    def one_of(masks: Sequence[int]) -> Column:
+        return F.explode(F.array(*[F.lit(m) for m in masks])) if len(masks) > 1 else F.lit((masks or [0])[0])
 
-    def values() -> list[Column]:
+    def comparable(left_out: Column) -> list[Column]:
+        """The compared values, without the loose columns that are left out."""
         kept = [strict_value(c).alias(f"__{c}") for c in strict]
         for place, c in enumerate(loose):
-            left_out = F.col("__open").bitwiseAND(F.lit(1 << place)) != 0
-            kept.append(F.when(~left_out, F.col(c)).alias(f"__{c}"))
+            out = left_out.bitwiseAND(F.lit(1 << place)) != 0
+            kept.append(F.when(~out, F.col(c)).alias(f"__{c}"))
         return kept
 
-    old_rows = old.groupBy(key, *compare).agg(F.count(F.lit(1)).alias("__n"))
+    compared_names = [f"__{c}" for c in compare]
+    old_rows = (
+        old.select(key, mask.alias("__old"), *comparable(F.lit(0)))
+        .groupBy(key, "__old", *compared_names)
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
     new_rows = new.groupBy(*new.columns).agg(F.count(F.lit(1)).alias("__n"))
     # Grouped by a struct, so that the join gets an exchange of its own to split.
     totals = (
         old_rows.groupBy(F.struct(key).alias("__k")).agg(F.sum("__n").alias("__total"))
     ).select(f"__k.{key}", "__total")
 
-    matchable = ["__mask", "__open", *[f"__{c}" for c in compare]]
+    # Old rows by what a new row with a given mask sees of them.
+    seen = old_rows.select("*", one_of(new_masks).alias("__new"))
+    out = F.col("__old").bitwiseOR(F.col("__new"))
+    hidden = [
+        F.when(out.bitwiseAND(F.lit(1 << loose.index(c))) == 0, F.col(f"__{c}")).alias(f"__{c}")
+        if c in loose
+        else F.col(f"__{c}")
+        for c in compare
+    ]
     equal = (
-        old_rows.select("*", mask.alias("__mask"), open_columns(new_masks or [0]).alias("__open"))
-        .select(key, "__mask", "__open", *values(), "__n")
-        .groupBy(key, *matchable)
+        seen.select(key, "__old", "__new", *hidden, "__n")
+        .groupBy(key, "__old", "__new", *compared_names)
         .agg(F.sum("__n").alias("__equal"))
         .alias("e")
     )
-    facing = F.explode(F.array(*[F.lit(m) for m in (old_masks or [0])]))
-    looking = (
-        new_rows.select("*", facing.alias("__mask"))
-        .withColumn("__open", mask.bitwiseOR(F.col("__mask")))
-        .select("*", *values())
-        .alias("n")
-    )
+    looking = new_rows.select("*", one_of(old_masks).alias("__old"), mask.alias("__new"))
+    looking = looking.select("*", *comparable(F.col("__old").bitwiseOR(F.col("__new")))).alias("n")
     met = F.col(f"n.{key}") == F.col(f"e.{key}")
-    for c in matchable:
+    for c in ["__old", "__new", *compared_names]:
         met = met & F.col(f"n.{c}").eqNullSafe(F.col(f"e.{c}"))
-    compared = (
-        looking.join(equal, met, "left")
-        .groupBy(*[F.col(f"n.{c}").alias(c) for c in new.columns])
-        .agg(
-            F.first("n.__n").alias("__n"),
-            F.sum(F.coalesce(F.col("e.__equal"), F.lit(0))).alias("__equal"),
+    columns = [F.col(f"n.{c}").alias(c) for c in new.columns]
+    equals = F.coalesce(F.col("e.__equal"), F.lit(0))
+    compared = looking.join(equal, met, "left")
+    if len(old_masks) > 1:
+        compared = compared.groupBy(*columns).agg(
+            F.first("n.__n").alias("__n"), F.sum(equals).alias("__equal")
         )
-        .join(totals, key, "left")
-    )
+    else:
+        compared = compared.select(*columns, F.col("n.__n").alias("__n"), equals.alias("__equal"))
+    compared = compared.join(totals, key, "left")
     inserted = F.col("__total").isNull()
     pairs = F.when(inserted, F.col("__n")).otherwise(
         F.col("__n") * (F.col("__total") - F.col("__equal"))

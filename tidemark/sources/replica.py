@@ -135,7 +135,7 @@ class JdbcReplica:
         staging = self.staging_name(run_id)
         (
             df.select(*self.columns)
-            .coalesce(self.connections)
+            .repartition(self.connections)
             .write.format("jdbc")
             .mode("overwrite")
             .option("url", self.url)
