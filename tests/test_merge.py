@@ -15,7 +15,7 @@ from tidemark.operators import (
     update_where,
     upsert,
 )
-from tidemark.operators.merge import broadcast_checked, provably_small
+from tidemark.operators.sizes import broadcast_checked, provably_small
 
 T0, T1, T2 = (dt.datetime(2026, 6, 24, h) for h in (9, 10, 11))
 SCHEMA = "k bigint, v string, at timestamp_ntz, n int"

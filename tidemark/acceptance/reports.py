@@ -16,7 +16,7 @@ from tidemark.acceptance.views import (
     with_sql,
 )
 from tidemark.functions import in_month_range
-from tidemark.operators.merge import broadcast_checked
+from tidemark.operators.sizes import broadcast_checked
 
 CITY_DIM_SQL = """
     city_dim as (

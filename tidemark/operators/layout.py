@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import bucket_of, month_ordinal
-from tidemark.operators.merge import broadcast_checked
+from tidemark.operators.sizes import broadcast_checked
 
 
 @dataclass(frozen=True)

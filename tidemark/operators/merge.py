@@ -17,6 +17,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.dedup import first_per_key
+from tidemark.operators.sizes import provably_small
+
 _COPY = "__copy"
 _ACTION = "__action"
 _KEY = "__key"
@@ -71,8 +74,6 @@ def insert_if_absent(
     Of several source rows with one key, the first by ``order`` goes in (by
     default in order of all columns).
     """
-    from tidemark.operators.dedup import first_per_key
-
     rest = [F.col(c) for c in source.columns if c not in on]
     single = first_per_key(source, on, order or rest or [F.col(on[0])])
     return merge_into(target, single, on, not_matched=[insert()], source_unique=True)
@@ -213,22 +214,3 @@ def _values(clause, source, target, keys):
     if isinstance(given, Mapping):
         return {k: v if isinstance(v, Column) else F.lit(v) for k, v in given.items()}
     return {c: F.col(f"s.{c}") for c in given}
-
-
-def provably_small(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df``.
-
-    For a persisted and counted frame the estimate is the measured size.
-    """
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    # A new frame, because a frame keeps the estimate it was first asked for.
-    size = df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
-def broadcast_checked(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``dim`` stays within ``max_rows``."""
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim

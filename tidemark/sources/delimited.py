@@ -35,7 +35,7 @@ def typed(df: DataFrame, types: dict[str, str], bad_values: str = "fail") -> Dat
 
 
 def write_rows(df: DataFrame, path: str, file_format: str = "csv", mode: str = "overwrite") -> None:
-    """Write a folder of CSV (with header) or Parquet files."""
+    """Write a folder of CSV (with header, quotes doubled) or Parquet files."""
     if file_format == "csv":
         df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     elif file_format == "parquet":
