@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tidemark.operators import (
@@ -82,6 +83,24 @@ def test_changes_turn_old_into_new(spark, old, new):
     assert snapshot_diff(after, after, "k").count() == 0
 
 
+def test_raw_diff_of_a_hot_key_builds_no_pairs(spark):
+    """A third of all rows share a key: 400 million pairs, counted in seconds."""
+    n = 60000
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    old = spark.range(n).select(key.alias("k"), F.col("id").alias("v"))
+    new = spark.range(n).select(key.alias("k"), (F.col("id") + 30).alias("v"))
+    found = {
+        r["change_type"]: (r["n"], r["copies"])
+        for r in raw_diff(old, new, "k", nulls="safe")
+        .groupBy("change_type")
+        .agg(F.count("k").alias("n"), F.sum("copies").alias("copies"))
+        .collect()
+    }
+    # Each of the 20,000 new rows of the hot key equals one old row, but for the last ten.
+    pairs = 20000 * 20000 - (20000 - 10)
+    assert found == {"UPDATE": (n, pairs + 40000)}
+
+
 def test_null_modes(spark):
     old = spark.createDataFrame([(1, None, None, at(0)), (2, "a", 1, at(0))], SCHEMA)
     new = spark.createDataFrame([(1, "", 5, at(0)), (2, "a", None, at(0))], SCHEMA)

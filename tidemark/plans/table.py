@@ -72,7 +72,8 @@ class VersionedTable:
         return table
 
     def exists(self) -> bool:
-        return self.commits().take(1) != []
+        log = self._read_if_there(f"{self.root}/log", LOG)
+        return log is not None and log.where(F.col("kind") == COMMIT).take(1) != []
 
     def commits(self) -> DataFrame:
         """The commit log: version, committed_at, operation."""
