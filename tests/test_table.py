@@ -53,6 +53,23 @@ def test_as_of_time(table, rows):
         table.as_of(version=7)
 
 
+def test_commit_times_do_not_go_back(table, rows):
+    table.overwrite(rows, dt.datetime(2100, 1, 1))
+    table.append(rows.limit(1))  # the clock is behind: counts as made at the same time
+    assert table.latest_version() == 3
+    assert table.version_at(dt.datetime(2100, 1, 1)) == 3
+    with pytest.raises(ValueError, match="committed later"):
+        table.append(rows, DAY_2)
+    with pytest.raises(ValueError, match="already holds a table"):
+        VersionedTable.create(rows, table.root)
+
+
+def test_month_reads_need_a_month_layout(rows, folder):
+    table = VersionedTable.create(rows, folder)
+    with pytest.raises(ValueError, match="by month"):
+        table.as_of(months=(dt.date(2026, 1, 1), dt.date(2026, 2, 1)))
+
+
 def test_a_table_without_versions(spark, folder):
     table = VersionedTable(spark, folder)
     assert not table.exists()

@@ -105,6 +105,8 @@ class VersionedTable:
         state = self._state(version)
         rows = self._read(state, state.live)
         if months is not None:
+            if state.layout.month_of is None:
+                raise ValueError("this version is not laid out by month")
             date, month = state.layout.month_of, state.layout.month
             rows = rows.where(in_month_range(F.col(date), *months, F.col(month)))
         names = state.schema.fieldNames() + (state.layout.derived if with_layout else [])
@@ -171,7 +173,8 @@ class VersionedTable:
         rows.write.mode("append").partitionBy("version", *state.layout.columns).parquet(
             f"{self.root}/data"
         )
-        self._log_commits(numbers, "append", state.schema, state.layout, committed_at)
+        moment = _moment(state, committed_at)
+        self._log_commits(numbers, "append", state.schema, state.layout, moment)
         return numbers[-1]
 
     def overwrite(
@@ -337,6 +340,7 @@ class VersionedTable:
         # One row per live folder: metadata, like the file listing Spark itself keeps.
         return _State(
             version=version,
+            committed_at=rows[-1]["committed_at"],
             schema=T.StructType.fromJson(json.loads(rows[-1]["table_schema"])),
             layouts={r["version"]: _layout_from(r["layout"]) for r in rows},
             live={(r["version"], r["folder"]) for r in live.collect()},
@@ -404,7 +408,8 @@ class VersionedTable:
 
     def _alter(self, state, schema, layout, committed_at) -> int:
         n = state.version + 1
-        self._write_log([_commit_row(n, "alter", schema, layout, committed_at, False)])
+        moment = _moment(state, committed_at)
+        self._write_log([_commit_row(n, "alter", schema, layout, moment, False)])
         return n
 
     def _fitted(self, df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
@@ -432,6 +437,7 @@ class VersionedTable:
         gather: bool = True,
     ) -> int:
         n = 1 if state is None else state.version + 1
+        moment = _moment(state, committed_at)
         schema = df.schema if replaces_all else state.schema
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
         rows = layout.add(self._fitted(df, schema))
@@ -444,7 +450,7 @@ class VersionedTable:
             .parquet(self._data(n))
         )
         self._log_commits(
-            [n], operation, schema, layout, committed_at, replaces_all, cuts, cut_written
+            [n], operation, schema, layout, moment, replaces_all, cuts, cut_written
         )
         return n
 
@@ -454,7 +460,7 @@ class VersionedTable:
         operation: str,
         schema: T.StructType,
         layout: Layout,
-        committed_at: dt.datetime | None,
+        moment: dt.datetime,
         replaces_all: bool = False,
         cuts: Sequence[str] = (),
         cut_written: bool = False,
@@ -476,7 +482,7 @@ class VersionedTable:
         )
         kinds = F.array(*[F.lit(k) for k in ([ADD, CUT] if cut_written else [ADD])])
         folders = written.select("version", "folder", F.explode(kinds).alias("kind"))
-        rows = [_commit_row(n, operation, schema, layout, committed_at, replaces_all) for n in numbers]
+        rows = [_commit_row(n, operation, schema, layout, moment, replaces_all) for n in numbers]
         rows += [(CUT, folder, None, None, None, None, None, numbers[0]) for folder in cuts]
         self._write_log(rows, folders)
 
@@ -524,8 +530,9 @@ class VersionedTable:
 class _State:
     """What one version consists of."""
 
-    def __init__(self, version, schema, layouts, live):
+    def __init__(self, version, committed_at, schema, layouts, live):
         self.version: int = version
+        self.committed_at: dt.datetime = committed_at
         self.schema: T.StructType = schema
         self.layouts: dict[int, Layout] = layouts
         self.live: set[tuple[int, str]] = live
@@ -557,8 +564,17 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
 
 
-def _commit_row(n, operation, schema, layout, committed_at, replaces_all) -> tuple:
-    moment = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+def _moment(state: _State | None, committed_at: dt.datetime | None) -> dt.datetime:
+    """When a commit counts as made: never before the one it follows."""
+    before = dt.datetime.min if state is None else state.committed_at
+    if committed_at is None:
+        return max(before, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    if committed_at < before:
+        raise ValueError(f"the version before was committed later, at {before}")
+    return committed_at
+
+
+def _commit_row(n, operation, schema, layout, moment, replaces_all) -> tuple:
     return (COMMIT, None, moment, operation, schema.json(), _layout_text(layout), replaces_all, n)
 
 
