@@ -64,6 +64,11 @@ def test_commit_times_do_not_go_back(table, rows):
         VersionedTable.create(rows, table.root)
 
 
+def test_version_is_no_column_name(rows, folder):
+    with pytest.raises(ValueError, match="taken by the table"):
+        VersionedTable.create(rows.withColumn("version", F.lit(1)), folder)
+
+
 def test_month_reads_need_a_month_layout(rows, folder):
     table = VersionedTable.create(rows, folder)
     with pytest.raises(ValueError, match="by month"):

@@ -35,7 +35,7 @@ from tidemark.plans.state import (
     watermark_of,
 )
 from tidemark.plans.table import VersionedTable
-from tidemark.session import work_folder
+from tidemark.session import local_frame, work_folder
 from tidemark.sources.replica import TableReplica
 
 KEYS = ["order_id"]
@@ -254,7 +254,7 @@ def bootstrap_baseline(spark, sf_dir):
         F.col("o_orderkey").alias("version"), F.col("o_orderdate").alias("committed_at")
     )
     baseline = bootstrap_version(commits, target)
-    return spark.createDataFrame([(baseline,)], "baseline bigint")
+    return local_frame(spark, [(baseline,)], "baseline bigint")
 
 
 def _with_time(rows, column="updated_at"):
@@ -313,6 +313,6 @@ def replicate_noop(spark, sf_dir):
         source.overwrite(rows.where("o_orderkey >= 0"), dt.datetime(2026, 2, run))
     rows_now = target.as_of().count()
     runs = [(*result, rows_now) for result in results]
-    return spark.createDataFrame(
-        runs, "run int, outcome string, applied bigint, target_versions bigint, target_rows bigint"
+    return local_frame(
+        spark, runs, "run int, outcome string, applied bigint, target_versions bigint, target_rows bigint"
     )

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions import ntz
 from tidemark.operators.dedup import latest_per_key
 from tidemark.plans.table import version_at
+from tidemark.session import local_frame
 
 # Where a pipeline starts, and the states it can be in.
 BEGINNING = dt.datetime(1900, 1, 1)
@@ -108,11 +109,11 @@ def ensure_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        spark.createDataFrame([], schema).coalesce(1).write.parquet(path)
+        local_frame(spark, [], schema).write.parquet(path)
 
 
 def append_row(spark: SparkSession, row: tuple, schema: T.StructType, path: str) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    local_frame(spark, [row], schema).write.mode("append").parquet(path)
 
 
 def last_processed(control: DataFrame, pipeline: str) -> DataFrame:

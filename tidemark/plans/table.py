@@ -32,6 +32,7 @@ from tidemark.operators.merge import (
     update,
     update_where,
 )
+from tidemark.session import local_frame
 
 COMMIT, ADD, CUT = "commit", "add", "cut"
 LOG = T.StructType(
@@ -46,6 +47,7 @@ LOG = T.StructType(
         T.StructField("version", T.LongType()),
     ]
 )
+VERSION = "version"
 FILE = ["file_path", "file_size_in_bytes"]
 
 
@@ -255,13 +257,18 @@ class VersionedTable:
     def delete_matching(
         self, keys: DataFrame, on: Sequence[str], committed_at: dt.datetime | None = None
     ) -> int:
-        return self._rewrite(
-            self._state(),
-            lambda rows: rows.join(keys.select(*on).distinct(), list(on), "left_semi"),
-            lambda rows: delete_matching(rows, keys, on),
-            "delete",
-            committed_at,
-        )
+        keys = keys.select(*on).distinct().persist()
+        try:
+            keys.count()  # measures their size, which decides whether they are broadcast
+            return self._rewrite(
+                self._state(),
+                lambda rows: rows.join(keys, list(on), "left_semi"),
+                lambda rows: delete_matching(rows, keys, on),
+                "delete",
+                committed_at,
+            )
+        finally:
+            keys.unpersist()
 
     def compact(
         self, target_file_bytes: int = 128 << 20, committed_at: dt.datetime | None = None
@@ -369,7 +376,7 @@ class VersionedTable:
             rows = rows.select(*wanted.names, *(FILE if with_file else []))
             whole = rows if whole is None else whole.unionByName(rows)
         if whole is None:
-            whole = self.spark.createDataFrame([], wanted)
+            whole = local_frame(self.spark, [], wanted)
             if with_file:
                 whole = whole.withColumns(
                     {"file_path": F.lit(""), "file_size_in_bytes": F.lit(0).cast("long")}
@@ -439,6 +446,8 @@ class VersionedTable:
         n = 1 if state is None else state.version + 1
         moment = _moment(state, committed_at)
         schema = df.schema if replaces_all else state.schema
+        if VERSION in schema.fieldNames():
+            raise ValueError(f"the column name {VERSION!r} is taken by the table itself")
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
         rows = layout.add(self._fitted(df, schema))
         if gather:
@@ -487,7 +496,7 @@ class VersionedTable:
         self._write_log(rows, folders)
 
     def _write_log(self, rows: list[tuple], folders: DataFrame | None = None) -> None:
-        entries = self.spark.createDataFrame(rows, LOG)
+        entries = local_frame(self.spark, rows, LOG)
         if folders is not None:
             entries = entries.unionByName(folders, allowMissingColumns=True)
         (
@@ -502,7 +511,7 @@ class VersionedTable:
         """Empty the data folder that a failed commit may have left for a version."""
         nothing = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
         if self._read_if_there(self._data(n), nothing) is not None:
-            empty = self.spark.createDataFrame([], nothing)
+            empty = local_frame(self.spark, [], nothing)
             # A partitioned write of no rows leaves no file behind.
             (
                 empty.write.mode("overwrite")
@@ -516,7 +525,7 @@ class VersionedTable:
 
     def _log(self) -> DataFrame:
         found = self._read_if_there(f"{self.root}/log", LOG)
-        return self.spark.createDataFrame([], LOG) if found is None else found
+        return local_frame(self.spark, [], LOG) if found is None else found
 
     def _read_if_there(self, path: str, schema: T.StructType) -> DataFrame | None:
         try:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _own_root: dict[str, str] = {}
 
@@ -60,3 +64,16 @@ def shared_root(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new, unused folder path under the shared root."""
     return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str) -> DataFrame:
+    """A few rows as a relation inside the plan.
+
+    Unlike a frame made from Python rows it has a known size, so that joins with it
+    can be broadcast, and needs no job of its own.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    named = [dict(zip(schema.names, row)) for row in rows]
+    table = pa.Table.from_pylist(named, schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema=schema)

@@ -7,12 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.session import local_frame
+
 
 def literal_rows(
     spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str, view: str | None = None
 ) -> DataFrame:
     """A small DataFrame, also registered as a temporary view if one is named."""
-    df = spark.createDataFrame(list(rows), schema)
+    df = local_frame(spark, rows, schema)
     if view is not None:
         df.createOrReplaceTempView(view)
     return df
