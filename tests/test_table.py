@@ -167,6 +167,20 @@ def test_columns_and_layout_evolve(spark, rows, folder):
         table.append(rows.withColumn("unknown", F.lit(1)))
 
 
+def test_an_update_after_a_new_layout_gathers_its_rows(spark, folder):
+    days = spark.range(0, 400, numPartitions=8).selectExpr(
+        "id as k", "date_add(date'2026-01-01', cast(id % 100 as int)) as day", "'A' as city"
+    )
+    days.write.parquet(f"{folder}/many")
+    table = VersionedTable.create(spark.read.parquet(f"{folder}/many"), f"{folder}/table")
+    table.evolve_layout(BY_MONTH)
+    table.update_where(F.col("k") % 2 == 0, {"city": "B"})
+    assert table.files().count() == 4
+    assert table.as_of().where("city = 'B'").count() == 200
+    table.update_where(F.col("k") % 2 == 1, {"city": "C"})
+    assert {r["city"]: r["count"] for r in table.as_of().groupBy("city").count().collect()} == {"B": 200, "C": 200}
+
+
 def test_compaction_keeps_rows_and_reduces_files(table, rows):
     table.append_in_batches(rows, batch_of("k", 5), 5)
     before, files = rows_of(table.as_of()), table.files().count()

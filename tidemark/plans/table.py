@@ -407,8 +407,9 @@ class VersionedTable:
         hits = touching(self._read(state, state.live, with_file=True))
         hits = hits.select(self._folder(F.col("file_path")).alias("folder")).distinct()
         found = {r[0] for r in hits.collect()}
-        rows = self._read(state, {(v, f) for v, f in state.live if f in found})
-        rows = rows.select(*state.schema.fieldNames())
+        touched = {(v, f) for v, f in state.live if f in found}
+        gather = gather or any(state.layouts[v] != state.layout for v, _ in touched)
+        rows = self._read(state, touched).select(*state.schema.fieldNames())
         return self._commit(
             state, change(rows), operation, state.layout, committed_at, cuts=sorted(found), gather=gather
         )
