@@ -1,6 +1,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
@@ -134,6 +136,61 @@ def test_insert_if_absent(spark, target):
     assert [r["v"] for r in merged.where("k = 9").collect()] == ["a"]
 
 
+def merged_by_hand(target, source):
+    """Delete on 'd', update if newer, insert unless 'x'; NULL keys match nothing."""
+    result = []
+    for t in target:
+        match = next((s for s in source if s[0] is not None and s[0] == t[0]), None)
+        if match is None:
+            result.append(t)
+        elif match[1] == "d":
+            continue
+        elif match[2] is not None and t[2] is not None and match[2] > t[2]:
+            result.append((t[0], match[1], match[2], t[3]))
+        else:
+            result.append(t)
+    held = {t[0] for t in target if t[0] is not None}
+    for s in source:
+        if s[0] not in held and s[1] != "x" and s[1] is not None:
+            result.append((s[0], s[1], s[2], None))
+    return sorted(result, key=repr)
+
+
+times = st.sampled_from([T0, T1, None])
+target_rows = st.lists(
+    st.tuples(st.sampled_from([1, 2, 3, None]), st.sampled_from(["a", "b"]), times, st.just(1)), max_size=8
+)
+source_rows = st.lists(
+    st.tuples(
+        st.sampled_from([1, 2, 3, 4, 5, None]), st.sampled_from(["d", "x", "n", None]), times, st.just(2)
+    ),
+    max_size=8,
+)
+
+
+@settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(target=target_rows, source=source_rows)
+def test_merge_equals_a_merge_by_hand(spark, target, source):
+    single = list({s[0]: s for s in source if s[0] is not None}.values())
+    single += [s for s in source if s[0] is None]
+    expected = merged_by_hand(target, single)
+    for unique in (True, False):
+        merged = merge_into(
+            spark.createDataFrame(target, SCHEMA),
+            spark.createDataFrame(single, SCHEMA),
+            ["k"],
+            matched=[
+                delete(F.col("s.v") == "d"),
+                update(["v", "at"], when=F.col("s.at") > F.col("t.at")),
+            ],
+            not_matched=[insert(["k", "v", "at"], when=F.col("s.v") != "x")],
+            source_unique=unique,
+        )
+        assert rows_of(merged) == expected
+
+
 def test_lab_merge_rows(spark):
     """One known and one unknown order."""
     schema = "order_id bigint, order_amount double, order_status string"

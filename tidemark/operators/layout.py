@@ -71,7 +71,12 @@ def write_partitioned(
     if drop_null_keys and layout.bucket:
         df = df.where(F.col(layout.bucket[0]).isNotNull())
     rows = gathered(layout.add(df), layout)
-    rows.write.mode(mode).partitionBy(*layout.columns).parquet(path)
+    (
+        rows.write.mode(mode)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*layout.columns)
+        .parquet(path)
+    )
 
 
 def save_bucketed(df: DataFrame, name: str, path: str, column: str, buckets: int) -> None:

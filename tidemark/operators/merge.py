@@ -171,7 +171,7 @@ def _matched_part(target, source, on, clauses, source_unique):
 
 
 def _inserted_part(target, source, on, clauses, source_unique):
-    held = _held_keys(target, source, on, source_unique)
+    held = held_keys(target, source, on, source_unique)
     lone = source.join(held, on, "left_anti").select(*source.columns)
     chosen = F.lit(None).cast("int")
     for place, clause in reversed(list(enumerate(clauses))):
@@ -189,8 +189,8 @@ def _inserted_part(target, source, on, clauses, source_unique):
     return acted.select(*columns)
 
 
-def _held_keys(target, source, on, source_unique):
-    """Keys of the target, first cut down by a small source so that they stay few."""
+def held_keys(target, source, on, source_unique):
+    """Keys of the target, for an anti join of the source; a small source cuts them down first."""
     keys = target.select(*on)
     if provably_small(source):
         keys = keys.join(source.select(*on).distinct(), on, "left_semi")

@@ -28,6 +28,7 @@ from tidemark.operators.layout import Layout, file_columns, gathered, partition_
 from tidemark.operators.merge import (
     Clause,
     delete_matching,
+    held_keys,
     merge_into,
     update,
     update_where,
@@ -309,9 +310,16 @@ class VersionedTable:
         the key by which present rows are left out.
         """
         rows = self.as_of(version).where(predicate)
-        if only_missing:
-            rows = delete_matching(rows, self.as_of(), only_missing)
-        return self.append(rows, committed_at)
+        if not only_missing:
+            return self.append(rows, committed_at)
+        rows = rows.persist()
+        try:
+            rows.count()  # measures their size, see merge
+            held = held_keys(self.as_of(), rows, list(only_missing), source_unique=False)
+            lost = rows.join(held, list(only_missing), "left_anti").select(*rows.columns)
+            return self.append(lost, committed_at)
+        finally:
+            rows.unpersist()
 
     def recover(
         self,
