@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.tables import table
+from tidemark.llm.warc import archive_pages
 
 SUBSTRINGS_SQL = r"""
 with d as (
@@ -40,4 +41,25 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+WARC_SQL = """
+with p as (
+    select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as payload_digest,
+           cast(strlen(coalesce(html, '')) as bigint) as payload_bytes
+    from pages
+), q as (
+    select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as first_id from p
+)
+select page_id, payload_bytes, payload_digest,
+       case when first_id is not null and page_id is distinct from first_id then 'revisit' else 'response' end as record_type,
+       case when first_id is not null and page_id is distinct from first_id then first_id end as refers_to
+from q
+"""
+
+
+@llm_query("op6_warc", WARC_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive_pages(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
