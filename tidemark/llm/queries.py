@@ -9,6 +9,7 @@ from tidemark.llm.packing import pack
 from tidemark.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.tables import table
+from tidemark.llm.tokenfiles import ids_round_trip
 from tidemark.llm.warc import archive_pages
 
 SUBSTRINGS_SQL = r"""
@@ -68,4 +69,9 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+@llm_query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ids_round_trip(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Distinct words a worker remembers before it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
 #: Characters given to the tokenizer at once.
 PIECE_CHARS = 1 << 14
 
@@ -100,18 +100,17 @@ class Encoder:
             each = self._encode(texts.to_pylist())
             return np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(e) for e in each], np.int64)
         parts = pc.split_pattern(texts, " ")
-        counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
         coded = parts.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        del parts
+        codes = coded.indices.to_numpy(zero_copy_only=False)
         odd = _odd_ends(coded.dictionary)
         words = coded.dictionary.to_pylist()
-        owners = np.repeat(np.arange(n), counts)
+        firsts = np.cumsum(counts) - counts
         whole = np.zeros(n, bool)
-        if len(codes):
-            whole[owners[odd[codes]]] = True
-        ends = np.cumsum(counts)
-        firsts = ends - counts
-        inner = ~whole[owners]
+        if odd.any():
+            whole[np.repeat(np.arange(n), counts)[odd[codes]]] = True
+        inner = np.repeat(~whole, counts)
         inner[firsts] = False
         used = np.zeros(len(words), bool)
         used[codes[inner]] = True
@@ -122,26 +121,28 @@ class Encoder:
         new = [w for w in asked if w not in self.known]
         if new:
             self._learn(new)
-        place = np.zeros(len(words), np.int64)
-        place[wanted] = np.fromiter(map(self.known.__getitem__, asked), np.int64, len(asked))
+        place = np.zeros(len(words), np.int32)
+        place[wanted] = np.fromiter(map(self.known.__getitem__, asked), np.int32, len(asked))
 
         # Pieces in the order of the texts: what stands first or a whole text, then its words.
         rows = texts.to_pylist() if whole.any() else None
         heads = self._encode([rows[i] if whole[i] else words[codes[firsts[i]]] for i in range(n)]) if n else []
-        head_len = np.array([len(h) for h in heads], np.int64)
+        del rows, words, asked, new
+        head_len = np.array([len(h) for h in heads], np.int32)
         pool = np.concatenate([self.ids[: self.starts[len(self.known)]], *heads])
-        head_at = self.starts[len(self.known)] + np.cumsum(head_len) - head_len
-        piece_at = self.starts[place[codes]]
-        piece_len = self.starts[place[codes] + 1] - piece_at
-        piece_at[firsts] = head_at
+        place = place[codes]
+        piece_at = self.starts[place].astype(np.int32)
+        piece_len = self.starts[place + 1].astype(np.int32) - piece_at
+        piece_at[firsts] = self.starts[len(self.known)] + np.cumsum(head_len) - head_len
         piece_len[firsts] = head_len
-        keep = inner.copy()
-        keep[firsts] = True
-        piece_at, piece_len, owners = piece_at[keep], piece_len[keep], owners[keep]
-        lengths = np.bincount(owners, weights=piece_len, minlength=n).astype(np.int64)
-        out_at = np.cumsum(piece_len) - piece_len
-        ids = pool[np.repeat(piece_at - out_at, piece_len) + np.arange(int(piece_len.sum()))]
-        return ids, lengths
+        inner[firsts] = True
+        piece_len[~inner] = 0
+        ends = np.cumsum(piece_len, dtype=np.int64)
+        lengths = np.diff(ends[np.cumsum(counts) - 1], prepend=0) if n else np.zeros(0, np.int64)
+        total = int(ends[-1]) if n else 0
+        at = np.repeat((piece_at - (ends - piece_len)).astype(np.int32), piece_len)
+        at += np.arange(total, dtype=np.int32)
+        return pool[at], lengths
 
 
 def _odd_ends(words: pa.Array) -> np.ndarray:
