@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query
 from tidemark.llm.substrings import dedup_substrings
@@ -74,4 +75,9 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids_round_trip(table(spark, sf_dir, "documents"))
 
 
+@llm_query("op5_minhash_neardup")
+def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
