@@ -13,11 +13,15 @@ joint weight) is at least 0.8, and a class is what links connect.
    coordinate with the probability of their similarity.
 2. **Bands.** Four coordinates make a key, 32 keys a document: a pair at 0.8 shares none with
    a probability of 5e-8. Copies (equal word sequences) are put together first and enter once.
-3. **Links.** In each bucket a few pivots are compared with the others, exactly, on the
-   shingles themselves. Members already connected need no comparison, so a bucket of many
-   copies costs one pass over it. Rounds go on, with twice the pivots each, until in every
-   bucket all members that were not pivots are connected: then every pair that shares a
-   bucket was compared or is in one class anyway. Nothing is capped.
+3. **Links.** Buckets are cut by size, since similar documents are of similar size. All
+   comparisons are exact, on the shingles themselves. In each bucket the member with the
+   most links is compared with the members of other classes, first in the first bands and
+   then in all, which brings together the copies of one text at one comparison a copy and
+   bucket. Then what shares a bucket with a large class is compared with the texts of the
+   class, in blocks of texts, and at last what is left in a bucket without being of one
+   class, in blocks as well. So every pair that shares a bucket was compared, or is too
+   unlike in size, or is in one class anyway; pairs within a group are never emitted, and
+   nothing is capped.
 
 Shingles are compared by 48 bits of their hashes. A bucket that holds a third of all rows is
 met by aggregates that combine before the shuffle and by joins that can be split.
@@ -32,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -45,13 +49,22 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 4
+FIRST_BANDS = 4
+#: Rounds over all bands in which the best linked member of a bucket is the pivot.
+HUB_ROUNDS = 2
+#: Classes of so many texts are compared in blocks of texts.
+LARGE_CLASS = 64
+#: A block of texts: at most about so many, of so many bytes.
+ROW_TEXTS = 128
+ROW_BYTES = 4 << 20
+ITEM_SLICE = 8192
 
 WORD_SEED = 41
 BASE = 0xA0761D6478BD642F
 SEQUENCE_BASES = (0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
-SIGNATURES = "row_id long, block_id long, doc_id long, h1 long, h2 long, keys array<long>"
+SIGNATURES = "row_id long, block_id long, doc_id long, size long, h1 long, h2 long, keys array<long>"
 
 
 class Shingles:
@@ -169,6 +182,7 @@ def signatures(blocks: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: in
                 pa.array(np.arange(block.first_row, block.first_row + n)),
                 pa.array(np.full(n, block.block_id)),
                 pa.array(block.doc_ids, pa.int64()),
+                pa.array(np.bincount(shingles.owners, weights=shingles.weights, minlength=n).astype(np.int64)),
                 pa.array(h1),
                 pa.array(h2),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[words].ravel())),
@@ -215,18 +229,10 @@ def unpack48(data: bytes) -> np.ndarray:
     return low | (np.frombuffer(data, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32))
 
 
-def _alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    small, large = min(len(a), len(b)), max(len(a), len(b))
-    if small < least * large:
-        return False
-    both = np.sort(np.concatenate([a, b]))
-    shared = int(np.count_nonzero(both[1:] == both[:-1]))
-    return shared >= least * (len(a) + len(b) - shared)
-
-
-def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs ``a, b`` whose similarity is at least ``least``."""
-    arrow = to_arrow_schema(StructType.fromDDL("a long, b long"))
+def similarities(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """``a, b, near`` of the pairs: whether their similarity is at least ``least``."""
+    schema = "a long, b long, near boolean"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def compare(batches):
         for batch in batches:
@@ -236,64 +242,198 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
             for i, (a, b) in enumerate(zip(a_ids, b_ids)):
                 if a != name:
                     name, items = a, unpack48(batch.column("a_items")[i].as_py())
-                if _alike(items, unpack48(batch.column("b_items")[i].as_py()), least):
-                    found.append({"a": a, "b": b})
+                other = unpack48(batch.column("b_items")[i].as_py())
+                both = np.sort(np.concatenate([items, other]))
+                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                joint = len(both) - shared
+                found.append({"a": a, "b": b, "near": shared >= least * joint})
             yield pa.RecordBatch.from_pylist(found, schema=arrow)
 
     with_b = pairs.join(sets.select(F.col("row_id").alias("b"), F.col("items").alias("b_items")), "b")
     with_a = with_b.join(sets.select(F.col("row_id").alias("a"), F.col("items").alias("a_items")), "a")
-    return with_a.select("a", "b", "a_items", "b_items").mapInArrow(compare, "a long, b long")
+    return with_a.select("a", "b", "a_items", "b_items").mapInArrow(compare, schema)
 
 
-def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
-    """``row_id, component`` of the documents that are linked to another, of ``row_id, block_id, keys``."""
-    entries = firsts.select("row_id", "block_id", F.explode("keys").alias("key"))
+def cut_buckets(members: DataFrame) -> DataFrame:
+    """Buckets anew, each of the members of two neighbouring steps of an old bucket.
+
+    Steps without a neighbour are a bucket of their own. A bucket has some forty steps.
+    """
+    steps = members.groupBy("key").agg(F.collect_set("step").alias("steps"))
+    below = F.array_contains("steps", F.col("step") - 1)
+    above = F.array_contains("steps", F.col("step") + 1)
+    step = F.col("step")
+    into = F.when(below & above, F.array(step, step + 1)).when(above, F.array(step + 1)).otherwise(F.array(step))
+    cut = members.join(steps, "key").withColumn("part", F.explode(into))
+    return cut.withColumn("key", F.xxhash64("key", "part")).drop("steps", "step", "part")
+
+
+def bucket_members(firsts: DataFrame, least: float) -> DataFrame:
+    """``key, band, row_id, block_id`` of the buckets with more than one member.
+
+    Similar documents are of similar size, so a bucket is cut by size: each member enters
+    its own step of a scale and the next one, the steps so wide that a pair alike enough is
+    together in at least one.
+    """
+    entries = firsts.select("row_id", "block_id", "size", F.posexplode("keys").alias("band", "key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = stored(entries.join(shared, "key", "left_semi"), "members")
-    wanted = members.select("block_id", "row_id").distinct()
-    sets = stored(shingle_sets(blocks, wanted, k), "shingles")
-    # "pivot": the member was compared with all others of its bucket.
-    open_ = members.select("key", "row_id", F.col("row_id").alias("component"), F.lit(False).alias("pivot"))
-    links = None
-    classes = None
-    pivots = 1
-    while True:
-        # A bucket is settled when its members that were no pivots are of one class.
-        free = open_.where("not pivot").groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first"))
-        state = free.groupBy("key").agg(
-            F.count(F.lit(1)).alias("classes"),
-            F.max(F.struct("n", "component"))["component"].alias("main"),
-        ).where("classes > 1")
-        order = Window.partitionBy("key").orderBy("n", "first")
-        chosen = (
-            free.join(state, "key")
-            .where(F.col("component") != F.col("main"))
-            .withColumn("nth", F.row_number().over(order))
-            .where(F.col("nth") <= pivots)
-            .select("key", F.col("first").alias("p"), F.col("component").alias("p_class"))
-        )
-        chosen = stored(chosen, "pivots")
-        if chosen.isEmpty():
-            break
-        pairs = (
-            open_.where("not pivot")
-            .join(chosen, "key")
-            .where((F.col("component") != F.col("p_class")))
-            .select(F.col("p").alias("a"), F.col("row_id").alias("b"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-        new = verified(pairs, sets, least)
-        links = stored(new if links is None else links.union(new), "near-links")
-        classes = stored(components(links), "classes")
-        was = chosen.select("key", F.col("p").alias("row_id"), F.lit(True).alias("now"))
-        live = open_.join(chosen.select("key").distinct(), "key", "left_semi").drop("component")
-        live = live.join(was, ["key", "row_id"], "left").select(
-            "key", "row_id", (F.col("pivot") | F.coalesce("now", F.lit(False))).alias("pivot")
-        )
-        live = live.join(classes.withColumnRenamed("node", "row_id"), "row_id", "left")
-        open_ = stored(live.select("key", "row_id", F.coalesce("component", "row_id").alias("component"), "pivot"), "open")
-        pivots *= 2
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1.0001 / least)))
+    cut = cut_buckets(entries.join(shared, "key", "left_semi").withColumn("step", step)).drop("size")
+    shared = cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    return cut.join(shared, "key", "left_semi")
+
+
+def _unsettled(members: DataFrame) -> DataFrame:
+    """The members of the buckets that hold more than one class."""
+    classes = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return members.join(classes.where("x <> y").select("key"), "key", "left_semi")
+
+
+def _hubs(members: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``key, p``: of each bucket the member with the most links so far, the least row if equal.
+
+    It is as a rule the text that the others are copies of. The maximum is combined before
+    the shuffle, however large the bucket.
+    """
+    rows = members.select("key", "row_id")
+    if links is None:
+        return rows.groupBy("key").agg(F.min("row_id").alias("p"))
+    ends = links.select(F.col("a").alias("row_id")).union(links.select(F.col("b").alias("row_id")))
+    degrees = ends.groupBy("row_id").agg(F.count(F.lit(1)).alias("degree"))
+    rows = rows.join(degrees, "row_id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    best = F.max(F.struct("degree", (-F.col("row_id")).alias("minus")))
+    return rows.groupBy("key").agg(best.alias("best")).select("key", (-F.col("best.minus")).alias("p"))
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many items each set on the left shares with each on the right."""
+    n = len(left)
+    sets = left + right
+    items = np.concatenate(sets)
+    owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(items, kind="stable")
+    items, owners = items[order], owners[order]
+    new = np.ones(len(items), bool)
+    new[1:] = items[1:] != items[:-1]
+    item = np.cumsum(new) - 1
+    often = np.bincount(item) > 1
+    place = np.cumsum(often) - 1
+    keep = often[item]
+    item, owners = place[item[keep]], owners[keep]
+    counts = np.zeros((n, len(right)))
+    # Items in slices, so that the table of who has what stays small.
+    for first in range(0, int(often.sum()), ITEM_SLICE):
+        a, b = np.searchsorted(item, [first, first + ITEM_SLICE])
+        has = np.zeros((ITEM_SLICE, len(sets)), np.float32)
+        has[item[a:b] - first, owners[a:b]] = 1
+        counts += has[:, :n].T @ has[:, n:]
+    return counts
+
+
+def _packed(rows: DataFrame, group: str, sets: DataFrame, name: str) -> DataFrame:
+    """``group, slot, name``: the texts of each group in rows of bounded number and size."""
+    rows = rows.join(sets, "row_id")
+    totals = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("items")).alias("size"))
+    slots = F.ceil(F.greatest(F.col("n") / ROW_TEXTS, F.col("size") / ROW_BYTES))
+    dealt = rows.join(totals, group).withColumn("slot", F.pmod(F.xxhash64("row_id"), slots))
+    return dealt.groupBy(group, "slot").agg(F.collect_list(F.struct("row_id", "items")).alias(name))
+
+
+def _spanning(pairs: list[tuple[int, int]]) -> list[dict]:
+    """As many of the pairs as connect what all of them connect."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    kept = []
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append({"a": a, "b": b})
+    return kept
+
+
+def _block_links(both: DataFrame, least: float) -> DataFrame:
+    """``a, b`` of the alike texts between the two packed columns of each row."""
+    arrow = to_arrow_schema(StructType.fromDDL("a long, b long"))
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                left, right = ([unpack48(m["items"]) for m in row[side]] for side in ("left", "right"))
+                a_ids, b_ids = ([m["row_id"] for m in row[side]] for side in ("left", "right"))
+                shared = shared_counts(left, right)
+                joint = np.array([len(t) for t in left])[:, None] + np.array([len(t) for t in right])[None] - shared
+                found = zip(*np.nonzero(shared >= least * joint))
+                pairs = [(a_ids[x], b_ids[y]) for x, y in found if a_ids[x] != b_ids[y]]
+                yield pa.RecordBatch.from_pylist(_spanning(pairs), schema=arrow)
+
+    return both.select("left", "right").mapInArrow(compare, "a long, b long")
+
+
+def _against_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links of members with the large classes that they share a bucket with."""
+    sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_CLASS)
+    large = members.join(sizes, "component").select("key", F.col("component").alias("class")).distinct()
+    asked = members.join(large, "key").where(F.col("component") != F.col("class")).select("class", "row_id").distinct()
+    of_class = classes.join(sizes, "component").select(F.col("component").alias("class"), F.col("node").alias("row_id"))
+    texts = _packed(of_class, "class", sets, "right").withColumnRenamed("slot", "other")
+    return _block_links(_packed(asked, "class", sets, "left").join(texts, "class"), least)
+
+
+def _within_buckets(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links between the members of each bucket."""
+    left = stored(_packed(members.select("key", "row_id"), "key", sets, "left"), "buckets")
+    right = left.select("key", F.col("slot").alias("other"), F.col("left").alias("right"))
+    return _block_links(left.join(right, "key").where("slot <= other"), least)
+
+
+def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
+    """``row_id, component`` of the documents linked to another, of ``row_id, block_id, size, keys``."""
+    start = stored(bucket_members(firsts, least), "members")
+    sets = stored(shingle_sets(blocks, start.select("block_id", "row_id").distinct(), k), "shingles")
+    links = classes = compared = None
+
+    def named(rows: DataFrame) -> DataFrame:
+        rows = rows.select("key", "row_id")
+        if classes is None:
+            return rows.withColumn("component", F.col("row_id"))
+        rows = rows.join(classes.withColumnRenamed("node", "row_id"), "row_id", "left")
+        return rows.select("key", "row_id", F.coalesce("component", "row_id").alias("component"))
+
+    def connect(found: DataFrame) -> None:
+        nonlocal links, classes
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            classes = stored(components(links), "classes")
+
+    members = start.where(F.col("band") < FIRST_BANDS)
+    for step in range(HUB_ROUNDS + 1):
+        members = stored(_unsettled(named(members)), "unsettled")
+        pivots = stored(_hubs(members, links), "pivots")
+        p_class = members.select("key", F.col("row_id").alias("p"), F.col("component").alias("p_class"))
+        met = members.join(pivots.join(p_class, ["key", "p"]), "key").where(F.col("component") != F.col("p_class"))
+        pairs = met.select(F.least("p", "row_id").alias("a"), F.greatest("p", "row_id").alias("b")).distinct()
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        new = stored(similarities(pairs, sets, least), "compared")
+        compared = new if compared is None else compared.union(new)
+        connect(new.where("near").select("a", "b"))
+        # A pivot leaves its bucket; after the first bands, all take part.
+        members = members.join(pivots.withColumnRenamed("p", "row_id"), ["key", "row_id"], "left_anti") if step else start
+    members = _unsettled(named(members))
+    if classes is not None:
+        # What large classes have near them is found at once; then they leave the buckets.
+        members = stored(members, "unsettled")
+        connect(stored(_against_classes(members, classes, sets, least), "class-links"))
+        sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_CLASS)
+        members = _unsettled(named(members).join(sizes, "component", "left_anti"))
+    connect(stored(_within_buckets(members, sets, least), "bucket-links"))
     if classes is None:
         return firsts.select("row_id", F.col("row_id").alias("component")).limit(0)
     return classes.withColumnRenamed("node", "row_id")
@@ -313,7 +453,7 @@ def classes_of(blocks: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -
     rows = stored(signatures(blocks, k), "signatures")
     worded = rows.where(F.size("keys") > 0)
     copies = worded.groupBy("h1", "h2").agg(F.min("row_id").alias("first_row"))
-    firsts = worded.join(copies.select(F.col("first_row").alias("row_id")), "row_id", "left_semi").select("row_id", "block_id", "keys")
+    firsts = worded.join(copies.select(F.col("first_row").alias("row_id")), "row_id", "left_semi").select("row_id", "block_id", "size", "keys")
     classes = near_links(blocks, stored(firsts, "firsts"), least, k)
     named = copies.join(classes.withColumnRenamed("row_id", "first_row"), "first_row", "left")
     named = named.select("h1", "h2", F.coalesce("component", "first_row").alias("class_row"))
