@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import judge
 from tidemark.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.tables import table
@@ -80,4 +81,9 @@ def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+@llm_query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("mean_ratio")
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
