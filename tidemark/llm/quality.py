@@ -115,7 +115,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> list[int]:
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Every document with its counts, ``mean_ratio`` and ``kept``."""
-    table = F.array(*[F.lit(x).cast("long") for x in log_ratios(docs, labels)])
+    # Folded to one constant array when the plan is made.
+    table = F.split(F.lit(",".join(map(str, log_ratios(docs, labels)))), ",").cast("array<bigint>")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     rows = base_rules(docs).withColumn("row_id", F.monotonically_increasing_id())
     rows = rows.select("row_id", "doc_id", *counts, "w")

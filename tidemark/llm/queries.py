@@ -12,6 +12,7 @@ from tidemark.llm.registry import LLM_ORACLES, LLM_QUERIES, llm_query
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.tables import table
 from tidemark.llm.tokenfiles import ids_round_trip
+from tidemark.llm.toxicity import score_documents
 from tidemark.llm.warc import archive_pages
 
 SUBSTRINGS_SQL = r"""
@@ -86,4 +87,9 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("mean_ratio")
 
 
+@llm_query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
