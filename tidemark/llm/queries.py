@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.contamination import contaminated
 from tidemark.llm.language import identify
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
@@ -98,4 +99,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@llm_query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id")
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import work_folder
 
@@ -23,6 +24,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_rows(docs: DataFrame, name: str) -> DataFrame:
+    """Stored rows ``row_id, text, row``: a number for each, and the row itself as one struct.
+
+    The struct keeps the columns apart from those an operator adds, whatever their names.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return stored(rows, name)
+
+
 def text_bytes(texts: pa.Array) -> np.ndarray:
     """The bytes of each text, 0 for null."""
     return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
