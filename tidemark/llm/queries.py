@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.contamination import contaminated
 from tidemark.llm.language import identify
+from tidemark.llm.maxent import score_corpus
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import judge
@@ -104,4 +105,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id")
 
 
+@llm_query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_corpus(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
