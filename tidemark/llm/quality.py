@@ -101,7 +101,8 @@ def _grams(df: DataFrame, *cols: str) -> DataFrame:
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[int]:
     """For each cell the log of trusted over raw probability, in whole millionths."""
     trusted = labels.where("quality = 1").select(F.col("doc_id").alias("trusted_id")).distinct()
-    marked = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("trusted_id"), "left")
+    # The same join for any number of labels; adaptive execution may split it.
+    marked = docs.select("doc_id", "text").join(trusted.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
     marked = marked.select(F.col("trusted_id").isNotNull().alias("good"), words_of(F.col("text")).alias("w"))
     cells = _grams(marked, "good").select("good", F.explode(F.array("one", "two")).alias("cell")).where("cell is not null")
     # Two rows a cell, however large the corpus.
