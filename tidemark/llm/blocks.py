@@ -9,6 +9,7 @@ lost executor never renumbers them.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -152,11 +153,21 @@ def word_blocks(
     return stored(docs.select(*cols).mapInArrow(split, schema), name)
 
 
+def release_memory() -> None:
+    """Gives what freed arrays held back to the system, before the next block is opened."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def read_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
     """The blocks of a task, one in memory at a time."""
     for batch in batches:
         for i in range(batch.num_rows):
             yield Block(batch.slice(i, 1).to_pylist()[0])
+            release_memory()
 
 
 def small_batches(rows: Iterable[dict], schema: pa.Schema, limit: int = 2048) -> Iterator[pa.RecordBatch]:
