@@ -226,3 +226,10 @@ def test_diff_shuffles_each_side_once(spark, conf):
     old = spark.range(100).selectExpr("id as k", "id as v", "id as updated_at")
     new = spark.range(100).selectExpr("id + 5 as k", "id as v", "id as updated_at")
     assert plan_of(snapshot_diff(old, new, "k")).count("Exchange hashpartitioning") == 2
+
+
+def test_effective_changes_once_a_key_and_with_columns_the_target_lacks(spark):
+    changes = spark.createDataFrame([(1, "x", "n", "UPDATE"), (2, "y", None, "UPDATE"), (3, None, None, "DELETE")], "id long, v string, w string, change_type string")
+    target = spark.createDataFrame([(1, "a"), (1, "x"), (1, "b"), (2, "y"), (3, "z"), (3, "z")], "id long, v string")
+    found = effective_changes(changes, target, "id", ["v", "w"])
+    assert sorted(r["id"] for r in found.collect()) == [1, 3]

@@ -6,11 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.acceptance import ORACLES as OWN_ORACLES
+from tidemark.acceptance import QUERIES as OWN_QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+# The library's own queries; those of optional subpackages have tests of their own.
+QUERIES = OWN_QUERIES
+ORACLES = OWN_ORACLES
 # Spark types and the DuckDB types they compare with.
 SAME_TYPE = {
     "bigint": "BIGINT",

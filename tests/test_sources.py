@@ -16,6 +16,7 @@ from tidemark.sources import (
     sample_warehouses,
     write_rows,
 )
+from tidemark.sources.delimited import NULL_TEXT
 from tidemark.sources.delimited import typed
 from tidemark.sources.samples import numbered
 
@@ -24,7 +25,7 @@ def test_quoted_text(spark, folder):
     rows = [(1, 'a "q", b'), (2, "back\\slash"), (3, None), (4, "")]
     df = spark.createDataFrame(rows, "id bigint, note string")
     write_rows(df, folder, "csv")
-    back = read_csv(spark, folder, "id bigint, note string", escape='"')
+    back = read_csv(spark, folder, "id bigint, note string", escape='"', null_value=NULL_TEXT)
     assert {r["id"]: r["note"] for r in back.collect()}[1] == 'a "q", b'
     assert back.count() == 4
 
@@ -139,3 +140,16 @@ def test_names_are_checked(spark):
 def test_samples_feed_the_operators(spark):
     orders = sample_orders(numbered(spark, 100))
     assert latest_per_key(orders, ["customer_id"]).count() <= 100
+
+
+def test_csv_keeps_every_text(spark, folder):
+    rows = [(1, "  pad  "), (2, ""), (3, None), (4, 'say "hi", ok'), (5, "a,b")]
+    write_rows(spark.createDataFrame(rows, "id bigint, note string"), folder, "csv")
+    back = read_csv(spark, folder, "id bigint, note string", escape='"', null_value=NULL_TEXT)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+@pytest.mark.parametrize("text", ["two\nlines", NULL_TEXT])
+def test_csv_refuses_what_it_cannot_hold(spark, folder, text):
+    with pytest.raises(Exception, match="does not fit into CSV"):
+        write_rows(spark.createDataFrame([(1, text)], "id bigint, note string"), folder, "csv")

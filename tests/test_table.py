@@ -215,3 +215,32 @@ def test_empty_content(table, rows):
     assert table.as_of().count() == 0
     table.append(rows.limit(2))
     assert table.as_of().count() == 2
+
+
+def test_batches_without_rows_and_out_of_range(spark, folder):
+    table = VersionedTable.create(spark.createDataFrame([(0, 0)], "id bigint, b int"), folder)
+    table.append_in_batches(spark.createDataFrame([(1, 0), (2, 7), (3, 7)], "id bigint, b int"), F.col("b"), 10)
+    assert sorted(r["id"] for r in table.as_of().collect()) == [0, 1, 2, 3]
+    assert table.latest_version() == 11
+    for bad in (10, -1, None):
+        with pytest.raises(Exception, match="no such batch"):
+            table.append_in_batches(spark.createDataFrame([(9, bad)], "id bigint, b int"), F.col("b"), 10)
+    assert table.as_of().count() == 4
+
+
+def test_a_second_writer_is_refused(spark, folder):
+    table = VersionedTable.create(spark.createDataFrame([(1,)], "id bigint"), folder)
+    state = table._state()
+    table.append(spark.createDataFrame([(2,)], "id bigint"))
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._commit(state, spark.createDataFrame([(3,)], "id bigint"), "append", state.layout, None)
+    assert sorted(r["id"] for r in table.as_of().collect()) == [1, 2]
+
+
+def test_merge_leaves_the_callers_cache(spark, folder):
+    table = VersionedTable.create(spark.createDataFrame([(1, "a")], "id bigint, v string"), folder)
+    source = spark.createDataFrame([(1, "b")], "id bigint, v string").persist()
+    source.count()
+    table.merge(source, ["id"], matched=[update()])
+    assert source.storageLevel.useMemory
+    source.unpersist()

@@ -21,6 +21,7 @@ from tidemark.operators.layout import Layout
 from tidemark.plans.table import VersionedTable, latest_version
 from tidemark.session import work_folder
 from tidemark.sources import literal_rows, read_csv, sample_inventory, sample_orders, write_rows
+from tidemark.sources.delimited import NULL_TEXT
 from tidemark.sources.delimited import typed
 from tidemark.sources.samples import (
     MOVEMENT_TYPES,
@@ -75,14 +76,21 @@ def typed_projection(spark, sf_dir):
 
 CSV_SQL = """
     select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-           cast(o_orderdate as date) as o_orderdate, o_orderpriority
+           cast(o_orderdate as date) as o_orderdate, o_orderpriority,
+           case o_orderkey % 6 when 0 then '  pad  ' when 1 then '' when 2 then null
+                when 3 then 'say "hi"' when 4 then 'a, b' else 'plain' end as note
     from orders"""
 
 
 def _orders_csv(spark: SparkSession, sf_dir: str) -> str:
     path = work_folder(spark, "orders-csv")
     orders = table(spark, sf_dir, "orders")
-    write_rows(orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date")), path, "csv")
+    note = (
+        "case o_orderkey % 6 when 0 then '  pad  ' when 1 then '' when 2 then null"
+        " when 3 then 'say \"hi\"' when 4 then 'a, b' else 'plain' end"
+    )
+    orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date")).withColumn("note", F.expr(note))
+    write_rows(orders, path, "csv")
     return path
 
 
@@ -90,15 +98,15 @@ def _orders_csv(spark: SparkSession, sf_dir: str) -> str:
 def csv_roundtrip(spark, sf_dir):
     schema = (
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
-        " o_orderdate string, o_orderpriority string"
+        " o_orderdate string, o_orderpriority string, note string"
     )
-    raw = read_csv(spark, _orders_csv(spark, sf_dir), schema)
+    raw = read_csv(spark, _orders_csv(spark, sf_dir), schema, escape='"', null_value=NULL_TEXT)
     return raw.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 @query(CSV_SQL)
 def csv_roundtrip_inferred(spark, sf_dir):
-    raw = read_csv(spark, _orders_csv(spark, sf_dir))
+    raw = read_csv(spark, _orders_csv(spark, sf_dir), escape='"', null_value=NULL_TEXT)
     return typed(
         raw,
         {
@@ -108,6 +116,7 @@ def csv_roundtrip_inferred(spark, sf_dir):
             "o_totalprice": "double",
             "o_orderdate": "date",
             "o_orderpriority": "string",
+            "note": "string",
         },
     )
 

@@ -38,7 +38,9 @@ def snapshot_diff(
         new = latest_per_key(new, [key], dedup_by, tie_break, joins_on_keys=True)
     compare = list(compare or [c for c in new.columns if c != key])
     types = {f.name: f.dataType for f in new.schema.fields}
-    o = old.select(key, *compare).withColumn("__held", F.lit(True)).alias("o")
+    # A column that came later is NULL on the old side.
+    there = [F.col(c) if c in old.columns else F.lit(None).cast(types[c]).alias(c) for c in compare]
+    o = old.select(key, *there).withColumn("__held", F.lit(True)).alias("o")
     n = new.withColumn("__held", F.lit(True)).alias("n")
     in_old, in_new = F.col("o.__held").isNotNull(), F.col("n.__held").isNotNull()
 
@@ -171,20 +173,35 @@ def effective_changes(
     """Only the changes that would alter the target.
 
     A DELETE counts if the key is there; anything else if the key is missing or a
-    compared column differs (NULL equals NULL). ``compare`` lists columns, or maps
-    columns of the changes to those of the target.
+    compared column differs (NULL equals NULL) in any row of that key. ``compare`` lists
+    columns, or maps columns of the changes to those of the target; a column that the
+    target lacks is NULL there.
     """
     pairs = dict(compare) if isinstance(compare, Mapping) else {c: c for c in compare}
-    held = target.select(key, *dict.fromkeys(pairs.values())).withColumn("__held", F.lit(True))
-    is_held = F.col("t.__held").isNotNull()
-    is_delete = F.col(f"c.{CHANGE_TYPE}") == DELETE
+    types = {f.name: f.dataType for f in changes.schema.fields}
+    held = target.select(
+        key,
+        *[
+            (F.col(c) if c in target.columns else F.lit(None).cast(types[mine])).alias(c)
+            for c, mine in {theirs: mine for mine, theirs in pairs.items()}.items()
+        ],
+    )
     altered = F.lit(False)
     for mine, theirs in pairs.items():
         altered = altered | ~F.col(f"t.{theirs}").eqNullSafe(F.col(f"c.{mine}"))
+    # One mark a key, so that a key the target repeats does not repeat its change.
+    marks = (
+        changes.alias("c")
+        .join(held.alias("t"), F.col(f"c.{key}") == F.col(f"t.{key}"))
+        .groupBy(F.col(f"c.{key}").alias("__key"))
+        .agg(F.max(altered).alias("__altered"))
+    )
+    is_delete = F.col(f"c.{CHANGE_TYPE}") == DELETE
+    is_held = F.col("m.__key").isNotNull()
     return (
         changes.alias("c")
-        .join(held.alias("t"), F.col(f"c.{key}") == F.col(f"t.{key}"), "left")
-        .where((is_delete & is_held) | (~is_delete & (~is_held | altered)))
+        .join(marks.alias("m"), F.col(f"c.{key}") == F.col("m.__key"), "left")
+        .where((is_delete & is_held) | (~is_delete & (~is_held | F.col("m.__altered"))))
         .select("c.*")
     )
 

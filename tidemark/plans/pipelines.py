@@ -187,7 +187,7 @@ def replicate(
     * a new version that alters nothing in the target: a log row only (``LOGGED``);
     * otherwise a merge and a log row (``MERGED``).
 
-    The target keeps the source's time in ``source_updated_timestamp`` and the load
+    A column that the source gained is added to the target first. The target keeps the source's time in ``source_updated_timestamp`` and the load
     time in ``updated_at``.
     """
     at = at or now()
@@ -203,6 +203,10 @@ def replicate(
     found = snapshot_diff(before, after, key, dedup_by=updated_at)
     found = found.withColumnRenamed(updated_at, RENAMED_TIME).persist()
     compare = [c for c in found.columns if c not in (key, CHANGE_TYPE)]
+    held = set(target.as_of().columns)
+    gained = {f.name: f.dataType.simpleString() for f in found.schema.fields if f.name in compare and f.name not in held}
+    if gained:
+        target.add_columns(gained, committed_at=at)
     effective = effective_changes(found, target.as_of(), key, compare).persist()
     try:
         summary = {r[0]: r[1] for r in found.groupBy(CHANGE_TYPE).count().collect()}

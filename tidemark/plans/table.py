@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -164,10 +164,17 @@ class VersionedTable:
     def append_in_batches(
         self, df: DataFrame, batch: Column, batches: int, committed_at: dt.datetime | None = None
     ) -> int:
-        """One commit per batch number in ``[0, batches)``, written in a single pass."""
+        """One commit per batch number in ``[0, batches)``, written in a single pass.
+
+        A batch without rows is a commit that adds nothing; a row whose number is NULL or
+        outside the range fails the write.
+        """
         state = self._state()
         first = state.version + 1
-        numbered = df.withColumn("version", (batch + first).cast("long"))
+        self._require_free(range(first, first + batches))
+        outside = F.raise_error(F.concat(F.lit("no such batch: "), F.coalesce(batch.cast("string"), F.lit("NULL"))))
+        number = F.when((batch >= 0) & (batch < batches), (batch + first).cast("long")).otherwise(outside.cast("long"))
+        numbered = df.withColumn("version", number)
         fitted = self._fitted(numbered, state.schema, ["version"])
         rows = gathered(state.layout.add(fitted), state.layout, ["version"])
         numbers = list(range(first, first + batches))
@@ -225,7 +232,10 @@ class VersionedTable:
         committed_at: dt.datetime | None = None,
     ) -> int:
         """A merge that rewrites only partitions in which a source key occurs."""
-        source = source.persist()
+        # A frame that the caller has cached stays so.
+        own = not (source.storageLevel.useMemory or source.storageLevel.useDisk)
+        if own:
+            source = source.persist()
         try:
             source.count()  # measures its size, which decides whether it is broadcast
             keys = source.select(*on).distinct()
@@ -237,7 +247,8 @@ class VersionedTable:
                 committed_at,
             )
         finally:
-            source.unpersist()
+            if own:
+                source.unpersist()
 
     def update_where(
         self, predicate: Column, values: Mapping[str, object], committed_at: dt.datetime | None = None
@@ -424,6 +435,7 @@ class VersionedTable:
 
     def _alter(self, state, schema, layout, committed_at) -> int:
         n = state.version + 1
+        self._require_free([n])
         moment = _moment(state, committed_at)
         self._write_log([_commit_row(n, "alter", schema, layout, moment, False)])
         return n
@@ -453,6 +465,7 @@ class VersionedTable:
         gather: bool = True,
     ) -> int:
         n = 1 if state is None else state.version + 1
+        self._require_free([n])
         moment = _moment(state, committed_at)
         schema = df.schema if replaces_all else state.schema
         if VERSION in schema.fieldNames():
@@ -487,10 +500,16 @@ class VersionedTable:
         # Only footers are read: a row gives the end of its path, "version=<n>/<folder>".
         depth = len(layout.columns) + 1
         tail = F.substring_index("_metadata.file_path", "/", -(depth + 1))
+        there = [n for n in numbers if len(numbers) == 1 or self._read_if_there(self._data(n), schema) is not None]
+        rows = [_commit_row(n, operation, schema, layout, moment, replaces_all) for n in numbers]
+        rows += [(CUT, folder, None, None, None, None, None, numbers[0]) for folder in cuts]
+        if not there:
+            self._write_log(rows)
+            return
         found = (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/data")
-            .parquet(*[self._data(n) for n in numbers])
+            .parquet(*[self._data(n) for n in there])
             .select(F.substring_index(tail, "/", depth).alias("tail"))
             .distinct()
         )
@@ -500,10 +519,14 @@ class VersionedTable:
         )
         kinds = F.array(*[F.lit(k) for k in ([ADD, CUT] if cut_written else [ADD])])
         folders = written.select("version", "folder", F.explode(kinds).alias("kind"))
-        rows = [_commit_row(n, operation, schema, layout, moment, replaces_all) for n in numbers]
-        rows += [(CUT, folder, None, None, None, None, None, numbers[0]) for folder in cuts]
         self._write_log(rows, folders)
 
+    def _require_free(self, numbers: Iterable[int]) -> None:
+        """Refuses to replace a version that another writer has committed meanwhile."""
+        for n in numbers:
+            if self._read_if_there(f"{self.root}/log/version={n}", LOG) is not None:
+                raise RuntimeError(f"version {n} was committed by another writer; read the table again")
+
     def _write_log(self, rows: list[tuple], folders: DataFrame | None = None) -> None:
         entries = local_frame(self.spark, rows, LOG)
         if folders is not None:

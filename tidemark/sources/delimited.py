@@ -6,16 +6,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: What stands for NULL in the files written here.
+NULL_TEXT = "\\N"
+
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, escape: str = "\\"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    escape: str = "\\",
+    null_value: str = "",
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Comma-separated text with a header line and ``"`` quotes.
 
     Without a schema the types are inferred, which reads the files once more. Use
-    ``escape='"'`` for files that double their quotes.
+    ``escape='"'`` for files that double their quotes, and with ``null_value=NULL_TEXT``
+    for files of ``write_rows``. A field that does not fit its type becomes NULL, or fails
+    the query with ``mode="FAILFAST"``.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", escape)
+    reader = (
+        spark.read.option("header", True)
+        .option("quote", '"')
+        .option("escape", escape)
+        .option("nullValue", null_value)
+        .option("mode", mode)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
@@ -35,9 +53,32 @@ def typed(df: DataFrame, types: dict[str, str], bad_values: str = "fail") -> Dat
 
 
 def write_rows(df: DataFrame, path: str, file_format: str = "csv", mode: str = "overwrite") -> None:
-    """Write a folder of CSV (with header, quotes doubled) or Parquet files."""
+    """Write a folder of CSV (with header, quotes doubled) or Parquet files.
+
+    CSV keeps padding, and empty text apart from NULL, which is written as ``NULL_TEXT``.
+    A text with a line break, or that is ``NULL_TEXT``, fails the write: the first would
+    make files that cannot be split, the second would be read as NULL.
+    """
     if file_format == "csv":
-        df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        refused = F.raise_error(F.lit(f"text with a line break, or {NULL_TEXT!r}, does not fit into CSV")).cast("string")
+        checked = [
+            F.when(F.col(f"`{f.name}`").rlike("[\\r\\n]") | (F.col(f"`{f.name}`") == NULL_TEXT), refused)
+            .otherwise(F.col(f"`{f.name}`"))
+            .alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+        (
+            df.select(*checked)
+            .write.mode(mode)
+            .option("header", True)
+            .option("escape", '"')
+            .option("nullValue", NULL_TEXT)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
     elif file_format == "parquet":
         df.write.mode(mode).parquet(path)
     else:
