@@ -125,9 +125,9 @@ def test_toxicity_finds_disguised_words_and_excuses_phrases(spark, none):
     rows, marks = [], []
     for i in range(400):
         toxic = i % 8 == 0
-        rows.append((i, f"some plain an proof text number {i % 50} hello you " + ("idiot " if toxic else "an idiot proof " if i % 16 == 1 else "") + "there and more"))
+        rows.append((i, f"some plain an proof text number {i % 50} hello you " + ("idiot " if toxic else "sturdy idiot proof " if i % 16 == 1 else "") + "there and more"))
         marks.append((i, 1, int(toxic)))
-    rows += [(1000, "what an 1D1OT"), (1001, "what an іdiоt"), (1002, None), (1003, ""), (None, "idiot"), (1004, "an idiot proof box")]
+    rows += [(1000, "what an 1D1OT"), (1001, "what an іdiоt"), (1002, None), (1003, ""), (None, "idiot"), (1004, "sturdy idiot proof box")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([*marks, (7, None, None)], "doc_id long, quality int, toxic int")
     found = {r["doc_id"]: r for r in toxicity.score_documents(docs, labels).collect()}

@@ -232,7 +232,8 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) ->
     """A scorer learned from the labelled documents outside the held-out fold."""
     marks = labels.where("toxic is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("long").alias("toxic"))
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
-    rows = rows.join(marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    # The same join for any number of labels; adaptive execution may split it.
+    rows = rows.join(marks.hint("merge"), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
     schema = StructType.fromDDL("doc_id long, text string, toxic long")
     arrow = to_arrow_schema(schema)
 
