@@ -1,6 +1,7 @@
 """Operators on texts against brute force, with awkward rows and empty tables."""
 
 import collections
+import random
 import re
 import zlib
 
@@ -69,6 +70,47 @@ def test_large_groups_of_near_copies_are_one_class(spark):
     assert [tuple(r) for r in found.groupBy("class_id").count().collect()] == [(0, 150)]
 
 
+def test_chain_behind_a_large_class(spark):
+    # 24 places with two words each: links are texts that differ in at most six of them. Last
+    # come c, of the large class, x near c alone, and y near x alone. Groups that share
+    # buckets with x and y, but are alike to neither, keep both from being pivots.
+    rng = random.Random(1)
+
+    def flip(v, at):
+        return [b ^ (i in at) for i, b in enumerate(v)]
+
+    def text(v, own=None):
+        w = [f"w{i}" for i in range(300)]
+        for place, b in enumerate(v):
+            if b:
+                w[place * 6 + 5] = f"v{place}"
+        if own is not None:
+            w[200 + own % 80] = f"own{own}"
+        return " ".join(w)
+
+    x = [rng.randrange(2) for _ in range(24)]
+    places = rng.sample(range(24), 13)
+    c, center, y = flip(x, places[:4]), flip(x, places[:8]), flip(x, places[8:])
+    rest = [i for i in range(24) if i not in places[8:]]
+    texts = [text(center, i) for i in range(70)]
+    for group in range(30):
+        v = flip(x, set(rng.sample(places[8:], 2) + rng.sample(rest, 6)))
+        texts += [text(v, 80 * (group + 1) + k) for k in range(3)]
+    texts += [text(c), text(x), text(y)]
+    bags = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
+    expected = list(range(len(texts)))
+    for i, a in enumerate(bags):
+        for j in range(i):
+            shared = len(a & bags[j])
+            if shared >= 0.8 * (len(a) + len(bags[j]) - shared):
+                p, q = sorted((expected[i], expected[j]))
+                expected = [p if e == q else e for e in expected]
+    assert expected[-3:] == [0, 0, 0]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(rows).collect()}
+    assert [found[i] for i in range(len(texts))] == expected
+
+
 def test_dart_signatures_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(3)
     items = rng.integers(0, 1 << 63, 300).astype(np.uint64)

@@ -18,8 +18,8 @@ joint weight) is at least 0.8, and a class is what links connect.
    most links is compared with the members of other classes, first in the first bands and
    then in all, which brings together the copies of one text at one comparison a copy and
    bucket. Then what shares a bucket with a large class is compared with the texts of the
-   class, in blocks of texts, and at last what is left in a bucket without being of one
-   class, in blocks as well. So every pair that shares a bucket was compared, or is too
+   class, in blocks of texts, again with those that joined by that, for some rounds, and at
+   last what is left in a bucket without being of one class, in blocks as well. So every pair that shares a bucket was compared, or is too
    unlike in size, or is in one class anyway; pairs within a group are never emitted, and
    nothing is capped.
 
@@ -54,6 +54,8 @@ FIRST_BANDS = 4
 HUB_ROUNDS = 2
 #: Classes of so many texts are compared in blocks of texts.
 LARGE_CLASS = 64
+#: Rounds in which large classes meet their buckets; what joins in the last is compared in its buckets.
+CLASS_ROUNDS = 4
 #: A block of texts: at most about so many, of so many bytes.
 ROW_TEXTS = 128
 ROW_BYTES = 4 << 20
@@ -376,12 +378,11 @@ def _block_links(both: DataFrame, least: float) -> DataFrame:
     return both.select("left", "right").mapInArrow(compare, "a long, b long")
 
 
-def _against_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Links of members with the large classes that they share a bucket with."""
-    sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_CLASS)
-    large = members.join(sizes, "component").select("key", F.col("component").alias("class")).distinct()
-    asked = members.join(large, "key").where(F.col("component") != F.col("class")).select("class", "row_id").distinct()
-    of_class = classes.join(sizes, "component").select(F.col("component").alias("class"), F.col("node").alias("row_id"))
+def _against_classes(members: DataFrame, large: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links of members with the texts of the large classes that they share a bucket with."""
+    in_bucket = members.join(large, ["row_id", "component"], "left_semi").select("key", F.col("component").alias("class")).distinct()
+    asked = members.join(in_bucket, "key").where(F.col("component") != F.col("class")).select("class", "row_id").distinct()
+    of_class = large.withColumnRenamed("component", "class")
     texts = _packed(of_class, "class", sets, "right").withColumnRenamed("slot", "other")
     return _block_links(_packed(asked, "class", sets, "left").join(texts, "class"), least)
 
@@ -427,12 +428,22 @@ def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY,
         # A pivot leaves its bucket; after the first bands, all take part.
         members = members.join(pivots.withColumnRenamed("p", "row_id"), ["key", "row_id"], "left_anti") if step else start
     members = _unsettled(named(members))
-    if classes is not None:
-        # What large classes have near them is found at once; then they leave the buckets.
+    met = None
+    for _ in range(CLASS_ROUNDS if classes is not None else 0):
+        # What large classes have near them is found at once; then the texts that took part
+        # leave the buckets. Those that joined by it stay: they have not met their buckets yet.
         members = stored(members, "unsettled")
-        connect(stored(_against_classes(members, classes, sets, least), "class-links"))
         sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_CLASS)
-        members = _unsettled(named(members).join(sizes, "component", "left_anti"))
+        large = classes.join(sizes, "component").select(F.col("node").alias("row_id"), "component")
+        if met is not None:
+            large = large.join(met, "row_id", "left_anti")
+        large = stored(large, "large-classes")
+        if members.join(large, "row_id", "left_semi").isEmpty():
+            break
+        connect(stored(_against_classes(members, large, sets, least), "class-links"))
+        rows = large.select("row_id")
+        met = rows if met is None else met.union(rows)
+        members = _unsettled(named(members.join(rows, "row_id", "left_anti")))
     connect(stored(_within_buckets(members, sets, least), "bucket-links"))
     if classes is None:
         return firsts.select("row_id", F.col("row_id").alias("component")).limit(0)
