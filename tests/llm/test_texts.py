@@ -211,3 +211,12 @@ def test_language_model_counts_and_total_probability(docs, none, corpus):
     leaves = np.arange(maxent.LEAVES)
     rows_ = maxent.feature_rows(np.full(maxent.LEAVES, 3, np.int16), np.full(maxent.LEAVES, 7, np.int16))
     assert np.exp(weights.log_probability(rows_, tree.class_of[leaves], tree.member_of[leaves])).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_language_model_learns_from_three_words_back(spark):
+    # Three words in turn: which one comes next shows only in the word three places back.
+    rng = random.Random(4)
+    texts = [(i, " ".join([f"w{rng.randrange(8)}" for _ in range(3)] * 50)) for i in range(2200)]
+    scored = maxent.score_corpus(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1))
+    sums = scored.where("held_out").selectExpr("sum(n_tokens) n", "sum(base_score) base", "sum(score) score").first()
+    assert sums["score"] / sums["n"] > sums["base"] / sums["n"] + 0.3
