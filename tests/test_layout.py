@@ -1,4 +1,6 @@
 import datetime as dt
+import glob
+import os
 
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from tidemark.operators.layout import (
     empty_like,
     ensure_table,
     file_inventory,
+    file_listing,
     overwrite_partitions,
     partition_count,
     partition_file_stats,
@@ -72,19 +75,49 @@ def test_partition_stats(spark, folder):
     layout = Layout("day")
     write_partitioned(days(spark), folder, layout)
     write_partitioned(days(spark).where("k < 31"), folder, layout, mode="append")
-    back = read_partitioned(spark, folder, days(spark).schema, layout)
-    stats = partition_file_stats(file_inventory(back, ["day_month"]), ["day_month"]).collect()
+    files = file_inventory(spark, folder, days(spark).schema, layout, records=True)
+    stats = partition_file_stats(files, ["day_month"]).collect()
     assert [(r["day_month"], r["file_count"], r["records"]) for r in stats][0] == (672, 2, 62)
     assert sum(r["records"] for r in stats) == 151
-    plan = file_inventory(back, ["day_month"])._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    # Footers of the data files, and no content of the listed ones.
+    assert "ReadSchema: struct<>" in plan and "ReadSchema: struct<path:string,length:bigint>" in plan
+    on_disk = [os.path.getsize(f) for f in glob.glob(f"{folder.removeprefix('file:')}/**/*.parquet", recursive=True)]
+    listed = file_inventory(spark, folder, days(spark).schema, layout)
+    assert sorted(r["file_size_in_bytes"] for r in listed.collect()) == sorted(on_disk)
+    assert "Parquet" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mean_size_of_files(spark):
+    files = spark.createDataFrame([("a", 3 << 20), ("a", 4 << 20), ("b", 1000)], "part string, file_size_in_bytes bigint")
+    stats = [tuple(r) for r in partition_file_stats(files, ["part"]).collect()]
+    assert stats == [("a", 2, 3.5), ("b", 1, 0.0)]
+
+
+def test_identity_values_come_back(spark, folder):
+    values = ["", None, " ", "a b", "+1", "-01", "a/b=c%d+e", "%2B", "n", "v", "__HIVE_DEFAULT_PARTITION__", "Ü:*?{}", "1995-01-01"]
+    rows = spark.createDataFrame([(i, v, i % 2 == 0, None if i % 3 else -0.5) for i, v in enumerate(values)], "k int, who string, even boolean, d double")
+    layout = Layout(identity=("who", "even", "d"))
+    write_partitioned(rows, folder, layout)
+    back = read_partitioned(spark, folder, rows.schema, layout)
+    assert rows_of(back.select(rows.columns)) == rows_of(rows)
+    for value in values:
+        assert [r["who"] for r in back.where(layout.in_part("who", value)).collect()] == [value]
+    listed = file_inventory(spark, folder, rows.schema, layout)
+    assert sorted(((r["who"], r["even"], r["d"]) for r in listed.collect()), key=repr) == sorted(((r["who"], r["even"], r["d"]) for r in rows.collect()), key=repr)
+    plan = back.where(layout.in_part("who", ""))._jdf.queryExecution().executedPlan().toString()
+    assert "who_part" in plan.split("PartitionFilters")[1].split("]")[0]
+    kept = replace_partitions(rows, rows.where("k = 1").withColumn("k", F.lit(99)), Layout(identity=("who",)))
+    assert kept.count() == len(values) and [r["k"] for r in kept.where("who is null").collect()] == [99]
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, folder, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     names = [f"bucketed_{side}_{folder[-12:]}" for side in ("a", "b")]
     for name in names:
-        save_bucketed(days(spark), name, f"{folder}/{name}", "k", 10)
+        save_bucketed(days(spark).repartition(7), name, f"{folder}/{name}", "k", 10)
+        # One file a bucket, however many tasks wrote.
+        assert file_listing(spark, f"{folder}/{name}").count() == 10
     joined = spark.table(names[0]).join(spark.table(names[1]), "k")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
@@ -110,7 +143,7 @@ def test_hot_partition_is_written_as_several_files(spark, folder, conf):
     )
     write_partitioned(hot, folder, Layout("day"))
     back = read_partitioned(spark, folder, hot.schema, Layout("day"))
-    assert file_inventory(back).count() > 4 and back.count() == 60000
+    assert file_inventory(spark, folder, hot.schema, Layout("day")).count() > 4 and back.count() == 60000
 
 
 def test_stock_rules(spark):

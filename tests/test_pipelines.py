@@ -38,6 +38,26 @@ def test_watermarks(state):
     assert state.rows().count() == 2
 
 
+def test_watermarks_do_not_depend_on_the_clock(spark, state, monkeypatch):
+    back = iter(range(1000, 0, -1))
+    monkeypatch.setattr("tidemark.plans.state.now", lambda: T[0] - dt.timedelta(days=1000 - next(back)))
+    monkeypatch.setattr("time.time_ns", lambda: next(back))
+    for hour in (3, 1, 7, 2):
+        state.set("p", T[hour], f"run_{hour}", "SUCCESS")
+        assert state.get("p") == T[hour]
+    assert state.rows().first()["last_run_id"] == "run_2"
+
+
+def test_watermark_files_stay_few(spark, state):
+    for run in range(100):
+        state.set("a/b=c%", T[0] + dt.timedelta(seconds=run), f"run_{run}", "SUCCESS")
+    for name in ("", "a/b=c%25", "A/B=C%"):
+        state.set(name, T[1], "run", "SUCCESS")
+    assert state.get("a/b=c%") == T[0] + dt.timedelta(seconds=99) and state.get("") == T[1]
+    assert state.rows().count() == 4
+    assert len(state._log().inputFiles()) == 2 + 3
+
+
 def test_sync_out(spark, state):
     lake = new_table(
         spark,
@@ -149,6 +169,17 @@ def test_replication(spark):
     }
 
 
+def test_a_gained_column_comes_with_the_first_change(spark):
+    source, target, control = source_and_target(spark, [(1, "A", 1.0, T[1]), (2, "B", 2.0, T[1])])
+    source.add_columns({"coupon": "string"})
+    done = run(source, target, control)
+    # A column without values alters nothing, so the target gets no new version.
+    assert (done.outcome, target.latest_version()) == ("LOGGED", 1)
+    source.update_where(F.col("id") == 1, {"coupon": "C10"})
+    assert run(source, target, control).outcome == "MERGED"
+    assert {r["id"]: r["coupon"] for r in target.as_of().collect()} == {1: "C10", 2: None}
+
+
 def test_changes_the_target_already_has(spark):
     source, target, control = source_and_target(spark, [(1, "A", 1.0, T[1]), (2, "B", 2.0, T[1])])
     source.update_where(F.col("id") == 1, {"amount": 9.0})

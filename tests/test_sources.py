@@ -11,6 +11,7 @@ from tidemark.sources import (
     JdbcReplica,
     literal_rows,
     read_csv,
+    read_rows,
     sample_inventory,
     sample_orders,
     sample_warehouses,
@@ -30,6 +31,16 @@ def test_quoted_text(spark, folder):
     assert back.count() == 4
 
 
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_rows_come_back_by_default(spark, folder, file_format):
+    rows = [(1, None), (2, ""), (3, "  pad "), (4, 'say "hi", ok'), (5, "back\\slash"), (None, "NULL")]
+    frame = spark.createDataFrame(rows, "id bigint, note string")
+    write_rows(frame, folder, file_format)
+    assert rows_of(read_rows(spark, folder, frame.schema, file_format)) == rows_of(frame)
+    with pytest.raises(ValueError, match="csv"):
+        read_rows(spark, folder, file_format="orc")
+
+
 def test_backslash_escapes(spark, folder):
     lines = spark.createDataFrame([('id,note\n1,"say \\"hi\\", ok"',)], "value string")
     lines.coalesce(1).write.text(folder)

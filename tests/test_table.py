@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,6 +28,11 @@ def table(rows, folder):
     return VersionedTable.create(rows, folder, BY_MONTH, DAY_1)
 
 
+def folders(table, version=None):
+    """The folders of a version: commit, batch, partition folder."""
+    return {(r["write"], r["batch"], r["folder"]) for r in table._folders(table._state(version)).collect()}
+
+
 def test_versions_do_not_change(table, rows):
     before = rows_of(table.as_of(1))
     table.update_where(F.col("k") < 5, {"city": "Z"}, DAY_2)
@@ -82,8 +89,8 @@ def test_a_table_without_versions(spark, folder):
         table.latest_version()
 
 
-def test_data_of_a_commit_that_died_is_replaced(spark, table, rows):
-    rows.withColumn("day_month", F.lit(999)).write.partitionBy("day_month").parquet(f"{table.root}/data/version=2")
+def test_data_of_a_commit_that_died_is_not_read(spark, table, rows):
+    rows.withColumn("day_month", F.lit(999)).write.partitionBy("day_month").parquet(f"{table.root}/data/commit_id=died/commit_batch=0")
     assert table.latest_version() == 1 and table.as_of().count() == 20
     table.append_in_batches(rows.limit(4), batch_of("k", 2), 2)
     assert table.as_of().count() == 24
@@ -93,12 +100,12 @@ def test_a_merge_rewrites_only_touched_folders(spark, table):
     source = spark.createDataFrame(
         [(0, dt.date(2026, 1, 1), "new", 0.0), (50, dt.date(2026, 3, 1), "added", 0.0)], SCHEMA
     )
-    before = table._state().live
+    before = folders(table)
     table.merge(source, ["k"], [update()], [insert()])
-    after = table._state().live
+    after = folders(table)
     # January was rewritten, March got one more file, the rest is shared.
-    assert {f for _, f in before - after} == {"day_month=672"}
-    assert {f for _, f in after - before} == {"day_month=672", "day_month=674"}
+    assert {f for *_, f in before - after} == {"day_month=672"}
+    assert {f for *_, f in after - before} == {"day_month=672", "day_month=674"}
     assert table.as_of().count() == 21
     assert {r["city"] for r in table.as_of().where("k in (0, 50)").collect()} == {"new", "added"}
 
@@ -162,7 +169,7 @@ def test_columns_and_layout_evolve(spark, rows, folder):
     table.delete_matching(rows.where("k = 0"), ["k"])
     assert table.as_of().count() == 38
     # The unpartitioned file was touched, so its rows now lie in month folders.
-    assert all("day_month" in folder for _, folder in table._state().live)
+    assert all("day_month" in folder for *_, folder in folders(table))
     with pytest.raises(ValueError, match="no columns"):
         table.append(rows.withColumn("unknown", F.lit(1)))
 
@@ -244,3 +251,165 @@ def test_merge_leaves_the_callers_cache(spark, folder):
     table.merge(source, ["id"], matched=[update()])
     assert source.storageLevel.useMemory
     source.unpersist()
+
+
+def jobs_of(spark, work):
+    """How many Spark jobs some work starts."""
+    group = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def ids(table):
+    return sorted(r["id"] for r in table.as_of().collect())
+
+
+@pytest.mark.parametrize("early_check", [True, False])
+def test_overlapping_writers_lose_no_row(spark, folder, monkeypatch, early_check):
+    def one(i):
+        return spark.createDataFrame([(i,)], "id bigint")
+
+    first = VersionedTable.create(one(1), folder)
+    second = VersionedTable(spark, folder)
+    written = first._written
+
+    def overtaken(*args):
+        # The other writer commits after this one's data was written, before its log entry.
+        second.append(one(20))
+        return written(*args)
+
+    monkeypatch.setattr(first, "_written", overtaken)
+    if not early_check:
+        # Even if the other one comes between the last look and the write.
+        monkeypatch.setattr(first, "_require_free", lambda n: None)
+    with pytest.raises(RuntimeError, match="another writer"):
+        first.append(one(10))
+    assert ids(second) == [1, 20]
+    monkeypatch.undo()
+    first.append(one(10))
+    assert ids(first) == [1, 10, 20]
+
+
+def test_an_entry_without_rows_is_taken_over_only_if_asked(spark, folder):
+    table = VersionedTable.create(spark.createDataFrame([(1,)], "id bigint"), folder)
+    # As a writer leaves it that dies while it publishes.
+    spark.createDataFrame([], "kind string").write.parquet(f"{folder}/log/entry=2")
+    assert ids(table) == [1]
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.append(spark.createDataFrame([(2,)], "id bigint"))
+    VersionedTable(spark, folder, take_over=True).append(spark.createDataFrame([(2,)], "id bigint"))
+    assert ids(table) == [1, 2] and table.latest_version() == 2
+    # What holds a version is never replaced.
+    late = VersionedTable(spark, folder, take_over=True)
+    with pytest.raises(RuntimeError, match="another writer"):
+        late._publish(2, [], late._folders(late._state()))
+
+
+def paths_of(df):
+    return {p.split("/data/")[1].split("/")[2] for p in df.inputFiles()}
+
+
+def test_month_reads_list_the_folders_of_their_months_only(spark, table, rows):
+    months = (dt.date(2026, 2, 1), dt.date(2026, 4, 1))
+    table.append(rows.limit(8))
+    assert paths_of(table.as_of()) == {f"day_month={m}" for m in (672, 673, 674, 675)}
+    found = table.as_of(months=months)
+    assert paths_of(found) == {"day_month=673", "day_month=674"}
+    assert rows_of(found) == rows_of(rows.union(rows.limit(8)).where("day >= '2026-02-01' and day < '2026-04-01'"))
+    # Folders of another layout may hold any month.
+    table.evolve_layout(Layout(identity=("city",)))
+    table.append(rows.limit(4))
+    table.evolve_layout(BY_MONTH)
+    assert {p.split("=")[0] for p in paths_of(table.as_of(months=months))} == {"day_month", "city_part"}
+    assert table.as_of(months=months).count() == found.count() + rows.limit(4).where("day >= '2026-02-01' and day < '2026-04-01'").count()
+
+
+def test_reading_takes_as_many_jobs_for_any_number_of_versions(spark, folder, rows):
+    few = VersionedTable.create(rows.limit(2), f"{folder}/few")
+    few.append_in_batches(rows, batch_of("k", 2), 2)
+    many = VersionedTable.create(rows.limit(2), f"{folder}/many")
+    many.append_in_batches(rows, batch_of("k", 29), 29)
+    assert (few.latest_version(), many.latest_version()) == (3, 30)
+    for read in (lambda t: t.versions().count(), lambda t: t.as_of().count(), lambda t: t.append(rows.limit(1))):
+        assert jobs_of(spark, lambda: read(few)) == jobs_of(spark, lambda: read(many))
+
+
+def test_versions_equal_each_version_read_alone(spark, table, rows):
+    table.append_in_batches(rows.limit(6), batch_of("k", 3), 3)
+    table.add_columns({"coupon": "string"})
+    table.delete_matching(rows.where("k in (2, 5)"), ["k"])
+    table.append(rows.limit(2).withColumn("coupon", F.lit("C")))
+    table.compact()
+    table.evolve_layout(Layout(identity=("city",)))
+    table.update_where(F.col("k") == 7, {"amount": -1.0})
+    table.overwrite(rows.limit(3))
+    together = table.versions()
+    assert together.columns == [*rows.columns, "coupon", "version"]
+    for n in range(1, table.latest_version() + 1):
+        alone = table.as_of(n)
+        assert rows_of(together.where(F.col("version") == n).select(*alone.columns)) == rows_of(alone)
+    # Each file is scanned once, whatever the number of versions that share it.
+    files = together.inputFiles()
+    assert len([f for f in files if "/data/" in f]) == len({f for f in files if "/data/" in f})
+
+
+def test_compaction_leaves_large_files_alone(spark, folder, conf):
+    def rows(n, start=0):
+        return spark.range(start, start + n, numPartitions=1).selectExpr("id as k", "date'2026-01-05' as day", "sha2(cast(id as string), 256) as v")
+
+    table = VersionedTable.create(rows(3000), folder, BY_MONTH)
+    for i in range(4):
+        table.append(rows(20, 10_000 + 20 * i))
+    table.append(rows(5, 20_000).withColumn("day", F.lit("2026-02-05").cast("date")))
+    before, files = rows_of(table.as_of()), {r["file_path"]: r["file_size_in_bytes"] for r in table.files().collect()}
+    large = {p for p, size in files.items() if size > 50_000}
+    assert len(files) == 6 and len(large) == 1
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="1KB")
+    version = table.compact(target_file_bytes=50_000)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "1KB"
+    now = {r["file_path"] for r in table.files().collect()}
+    # The large file and February's only one are the same files; the four small ones became one.
+    assert large < now and len(now & set(files)) == 2 and len(now) == 3
+    assert rows_of(table.as_of()) == before and table.compact(target_file_bytes=50_000) is None
+    assert rows_of(table.as_of(version - 1)) == before
+    # The folder that is read by file name can be changed and compacted like any other.
+    table.update_where(F.col("k") == 1, {"v": "changed"})
+    assert table.as_of().count() == len(before) and table.as_of().where("v = 'changed'").count() == 1
+    assert table.files().where(F.col("file_path").isin(*large)).count() == 0
+
+
+def test_compaction_fills_files_up_to_the_target(spark, folder):
+    parts = spark.range(0, 4000, numPartitions=40).selectExpr("id as k", "sha2(cast(id as string), 256) as v")
+    table = VersionedTable.create(spark.createDataFrame([], "k bigint, v string"), folder)
+    table._commit(table._state(), parts, "append", Layout(), None, fitted=True)
+    sizes = [r["file_size_in_bytes"] for r in table.files().where("file_size_in_bytes > 2000").collect()]
+    target = 3 * max(sizes)
+    table.compact(target_file_bytes=target)
+    after = [r["file_size_in_bytes"] for r in table.files().where("file_size_in_bytes > 2000").collect()]
+    assert len(after) < len(sizes) / 2 and max(after) < 2 * target and len(after) > 3
+    assert table.as_of().count() == 4000
+
+
+def test_overwriting_partitions_with_rows_of_the_table_itself(table, rows):
+    january = table.as_of(months=(dt.date(2026, 1, 1), dt.date(2026, 2, 1)))
+    table.overwrite_partitions(january.withColumn("city", F.lit("again")))
+    assert table.as_of().count() == 20 and table.as_of().where("city = 'again'").count() == 5
+    assert rows_of(table.as_of(1)) == rows_of(rows)
+
+
+def test_file_stats_are_those_on_disk(spark, table, rows):
+    table.append(rows.limit(6))
+    listed = {r["file_path"].removeprefix("file:"): r for r in table.files(records=True).collect()}
+    assert {p: os.path.getsize(p) for p in listed} == {p: r["file_size_in_bytes"] for p, r in listed.items()}
+    assert sum(r["record_count"] for r in listed.values()) == 26
+    stats = {r["day_month"]: r for r in table.file_stats().collect()}
+    for month, row in stats.items():
+        sizes = [os.path.getsize(p) for p in listed if f"day_month={month}/" in p]
+        assert row["file_count"] == len(sizes)
+        assert row["avg_file_size_mb"] == round(sum(sizes) / len(sizes) / 1024 / 1024, 2)
+    assert "records" not in table.file_stats(records=False).columns
+    assert "parquet" not in table.files()._jdf.queryExecution().executedPlan().toString().lower().replace(".parquet", "")

@@ -23,12 +23,12 @@ from tidemark.operators.layout import (
     batch_of,
     empty_like,
     ensure_table,
-    file_inventory,
-    overwrite_partitions,
+    file_inventory as list_files,
     partition_count as count_partitions,
     partition_file_stats as file_stats,
     read_partitioned,
     replace_partitions,
+    save_bucketed,
     write_partitioned,
 )
 from tidemark.plans.table import VersionedTable
@@ -112,13 +112,87 @@ def composite_layout_counts(spark, sf_dir):
     from plain group by all"""
 )
 def partition_file_stats(spark, sf_dir):
-    _, landed = _landed(spark, plain_orders(spark, sf_dir), BY_MONTH)
-    parts = BY_MONTH.columns
-    stats = file_stats(file_inventory(landed, parts), parts)
+    path, landed = _landed(spark, plain_orders(spark, sf_dir), BY_MONTH)
+    files = list_files(spark, path, landed.drop(*BY_MONTH.columns).schema, BY_MONTH, records=True)
+    stats = file_stats(files, BY_MONTH.columns)
     has_files = (F.col("file_count") >= 1) & (F.col("avg_file_size_mb") >= 0)
     return stats.select("order_date_month", has_files.alias("has_files"), "records")
 
 
+@query(
+    PLAIN_SQL
+    + f"""
+    select {month_sql("order_date")} as order_date_month, count(*)::bigint as records,
+           true as same_files, true as same_mean_mb
+    from plain group by all"""
+)
+def file_inventory(spark, sf_dir):
+    """Files listed without opening them, set against those that a scan of the rows names."""
+    path, landed = _landed(spark, plain_orders(spark, sf_dir), BY_MONTH)
+    parts = BY_MONTH.columns
+    listed = file_stats(list_files(spark, path, landed.drop(*parts).schema, BY_MONTH, records=True), parts)
+    scanned = landed.select(*parts, "_metadata.file_path", "_metadata.file_size").distinct()
+    scanned = scanned.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("files"), F.round(F.avg("file_size") / 1024 / 1024, 2).alias("mean_mb")
+    )
+    return listed.join(scanned, parts).select(
+        *parts,
+        "records",
+        (F.col("file_count") == F.col("files")).alias("same_files"),
+        (F.col("avg_file_size_mb") == F.col("mean_mb")).alias("same_mean_mb"),
+    )
+
+
+IDENTITY = "case o_orderkey % 7 when 0 then null when 1 then '' when 2 then ' ' when 3 then '+1' when 4 then 'a/b=c%d' when 5 then 'n' else o_orderpriority end"
+
+
+@query(
+    f"""
+    select {IDENTITY} as label, cast(null as varchar) as picked, count(*)::bigint as orders, sum(o_orderkey)::bigint as keys
+    from orders group by all
+    union all
+    select {IDENTITY}, 'empty', count(*)::bigint, sum(o_orderkey)::bigint from orders where {IDENTITY} = '' group by all
+    union all
+    select {IDENTITY}, 'null', count(*)::bigint, sum(o_orderkey)::bigint from orders where {IDENTITY} is null group by all"""
+)
+def identity_layout_values(spark, sf_dir):
+    """Orders partitioned by a text that may be NULL, empty or full of signs; two folders read alone."""
+    layout = Layout(identity=("label",))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(IDENTITY).alias("label"))
+    _, landed = _landed(spark, orders, layout)
+
+    def counted(rows, picked):
+        return rows.groupBy("label", F.lit(picked).cast("string").alias("picked")).agg(
+            F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys")
+        )
+
+    empty = counted(landed.where(layout.in_part("label", "")), "empty")
+    null = counted(landed.where(layout.in_part("label", None)), "null")
+    return counted(landed, None).union(empty).union(null)
+
+
+@query(
+    """
+    select c_mktsegment, count(*)::bigint as orders, sum(cast(o_totalprice as decimal(12,2)))::double as revenue
+    from orders join customer on o_custkey = c_custkey group by all"""
+)
+def bucketed_join(spark, sf_dir):
+    """Orders and customers in catalog tables bucketed by customer, joined where they lie."""
+    buckets = 8
+    frames = {
+        "orders": table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), F.col("o_totalprice").cast("decimal(12,2)").alias("price")),
+        "customers": table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_mktsegment"),
+    }
+    held = {}
+    for name, frame in frames.items():
+        held[name] = f"{name}_bucketed_{uuid.uuid4().hex[:12]}"
+        save_bucketed(frame, held[name], work_folder(spark, held[name]), "custkey", buckets)
+    joined = spark.table(held["orders"]).join(spark.table(held["customers"]), "custkey")
+    return joined.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("price").cast("double").alias("revenue")
+    )
+
+
 @query(
     PLAIN_SQL
     + f"select count(distinct {month_sql('order_date')})::bigint as total_partitions from plain"
@@ -205,14 +279,12 @@ def compaction_preserves_rows(spark, sf_dir):
     from plain group by all"""
 )
 def overwrite_partitions_reprocess(spark, sf_dir):
-    """One month read, corrected and written back over itself."""
-    path, landed = _landed(spark, plain_orders(spark, sf_dir), BY_MONTH)
-    january = landed.where(in_month_range(F.col("order_date"), *JANUARY, F.col(BY_MONTH.month)))
-    fixed = january.withColumn("order_status", F.lit("REPROCESSED")).drop(BY_MONTH.month)
-    overwrite_partitions(fixed, path, BY_MONTH)
-    again = read_partitioned(spark, path, fixed.schema, BY_MONTH)
+    """One month read, corrected and written back over itself, as a new version."""
+    orders = VersionedTable.create(plain_orders(spark, sf_dir), work_folder(spark, "reprocessed"), BY_MONTH, VERSION_1_AT)
+    january = orders.as_of(months=JANUARY)
+    orders.overwrite_partitions(january.withColumn("order_status", F.lit("REPROCESSED")))
     month = F.date_format("order_date", "yyyy-MM").alias("order_month")
-    return again.groupBy(month, "order_status").agg(F.count(F.lit(1)).alias("records"))
+    return orders.as_of().groupBy(month, "order_status").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query(
@@ -239,18 +311,17 @@ def overwrite_partitions_loss(spark, sf_dir):
     + f"""
     select {month_sql("order_date")} as order_date_month, count(*)::bigint as orders,
            sum(order_amount)::double as revenue
-    from plain where order_date >= date '1996-01-01' and order_date < date '1997-01-01' group by all"""
+    from plain group by all"""
 )
 def layout_evolution_read(spark, sf_dir):
-    """Half the orders written without partitions, half by month; one pruned read of both."""
+    """Half the orders written without partitions, half by month; one read of both, by month."""
     orders = plain_orders(spark, sf_dir)
     even = F.col("order_id") % 2 == 0
     evolved = VersionedTable.create(orders.where(even), work_folder(spark, "evolved"))
     evolved.evolve_layout(BY_MONTH)
     evolved.append(orders.where(~even))
-    year = (JANUARY[0], JANUARY[0].replace(year=1997))
     return (
-        evolved.as_of(months=year, with_layout=True)
+        evolved.as_of(with_layout=True)
         .groupBy("order_date_month")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("order_amount").cast("double").alias("revenue"))
     )

@@ -20,8 +20,7 @@ from tidemark.acceptance.views import (
 from tidemark.operators.layout import Layout
 from tidemark.plans.table import VersionedTable, latest_version
 from tidemark.session import work_folder
-from tidemark.sources import literal_rows, read_csv, sample_inventory, sample_orders, write_rows
-from tidemark.sources.delimited import NULL_TEXT
+from tidemark.sources import literal_rows, read_rows, sample_inventory, sample_orders, write_rows
 from tidemark.sources.delimited import typed
 from tidemark.sources.samples import (
     MOVEMENT_TYPES,
@@ -100,13 +99,13 @@ def csv_roundtrip(spark, sf_dir):
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
         " o_orderdate string, o_orderpriority string, note string"
     )
-    raw = read_csv(spark, _orders_csv(spark, sf_dir), schema, escape='"', null_value=NULL_TEXT)
+    raw = read_rows(spark, _orders_csv(spark, sf_dir), schema)
     return raw.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 @query(CSV_SQL)
 def csv_roundtrip_inferred(spark, sf_dir):
-    raw = read_csv(spark, _orders_csv(spark, sf_dir), escape='"', null_value=NULL_TEXT)
+    raw = read_rows(spark, _orders_csv(spark, sf_dir))
     return typed(
         raw,
         {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,16 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import bucket_of, month_ordinal
+from tidemark.functions import bucket_of, month_ordinal, part_code, part_value
 from tidemark.operators.sizes import broadcast_checked
 
+#: Fixed value: the folder name of a NULL partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 @dataclass(frozen=True)
 class Layout:
     """How rows are spread over folders: month of a date, columns, hash bucket of a column.
 
-    Month and bucket are derived columns named ``<column>_month`` and
-    ``<column>_bucket``; ``add`` computes them, ``columns`` lists all in folder order.
+    Folders are named by derived columns, which ``add`` computes and ``columns`` lists in
+    folder order: ``<column>_month``, ``<column>_part`` and ``<column>_bucket``. A part is a
+    reversible code of the value, apart for NULL, empty text and signs, which Spark's own
+    folder names confuse or guess a type for. The column itself stays in the files.
     """
 
     month_of: str | None = None
@@ -30,28 +36,47 @@ class Layout:
         return f"{self.month_of}_month" if self.month_of else None
 
     @property
-    def derived(self) -> list[str]:
-        names = [self.month] if self.month else []
-        return names + ([f"{self.bucket[0]}_bucket"] if self.bucket else [])
+    def columns(self) -> list[str]:
+        return [name for name, _ in self._named()]
 
     @property
-    def columns(self) -> list[str]:
-        names = [self.month] if self.month else []
-        names += self.identity
-        return names + ([f"{self.bucket[0]}_bucket"] if self.bucket else [])
+    def value_columns(self) -> list[str]:
+        """What ``values`` gives: identity columns by their own name."""
+        return [column or name for name, column in self._named()]
+
+    def _named(self) -> list[tuple[str, str | None]]:
+        """Each folder column, and the identity column it is a code of, if any."""
+        names = [(self.month, None)] if self.month else []
+        names += [(f"{c}_part", c) for c in self.identity]
+        return names + ([(f"{self.bucket[0]}_bucket", None)] if self.bucket else [])
 
     def add(self, df: DataFrame) -> DataFrame:
         new: dict[str, Column] = {}
         if self.month_of:
             new[self.month] = month_ordinal(F.col(self.month_of))
+        for c in self.identity:
+            new[f"{c}_part"] = part_code(F.col(c))
         if self.bucket:
             new[f"{self.bucket[0]}_bucket"] = bucket_of(F.col(self.bucket[0]), self.bucket[1])
         return df.withColumns(new) if new else df
 
     def schema(self, base: T.StructType) -> T.StructType:
-        fields = list(base.fields)
-        fields += [T.StructField(name, T.IntegerType()) for name in self.derived]
-        return T.StructType(fields)
+        folders = [T.StructField(name, T.StringType() if column else T.IntegerType()) for name, column in self._named()]
+        return T.StructType([*base.fields, *folders])
+
+    def in_part(self, column: str, value: object) -> Column:
+        """``column <=> value``; also names its folder, so that the others are not read."""
+        return F.col(column).eqNullSafe(F.lit(value)) & (F.col(f"{column}_part") == part_code(F.lit(value)))
+
+    def values(self, base: T.StructType, path: Column) -> list[Column]:
+        """The partition values that a path stands for; NULL where it names none."""
+        values = []
+        for name, column in self._named():
+            found = F.regexp_extract(path, f"(?:^|/){re.escape(name)}=([^/]*)", 1)
+            text = F.when((found != "") & (found != NO_VALUE), F.url_decode(F.regexp_replace(found, r"\+", "%2B")))
+            value = part_value(text, base[column].dataType) if column else text.cast("int")
+            values.append(value.alias(column or name))
+        return values
 
 
 def gathered(df: DataFrame, layout: Layout, and_by: Sequence[str] = ()) -> DataFrame:
@@ -80,9 +105,14 @@ def write_partitioned(
 
 
 def save_bucketed(df: DataFrame, name: str, path: str, column: str, buckets: int) -> None:
-    """A catalog table bucketed and sorted by a column: joins on it need no shuffle."""
+    """A catalog table bucketed and sorted by a column: joins on it need no shuffle.
+
+    Rows are dealt to tasks as they are to buckets, so each bucket is one sorted file however
+    many tasks the input has.
+    """
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, column)
+        .write.mode("overwrite")
         .bucketBy(buckets, column)
         .sortBy(column)
         .option("path", path)
@@ -124,38 +154,57 @@ def overwrite_partitions(df: DataFrame, path: str, layout: Layout) -> None:
     )
 
 
-def file_inventory(df: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
-    """One row per file behind a file-based frame: partition, path, bytes, records.
+def file_listing(spark: SparkSession, *paths: str) -> DataFrame:
+    """``file_path, file_size_in_bytes`` of the Parquet files under some folders: no file is opened."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(list(paths))
+    )
+    return listed.select(F.col("path").alias("file_path"), F.col("length").alias("file_size_in_bytes"))
+
+
+def file_path() -> Column:
+    """The file that a row was read from, as ``file_listing`` spells it."""
+    # In ``_metadata`` it is URL-encoded.
+    return F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+
+
+def record_counts(rows: DataFrame) -> DataFrame:
+    """``file_path, record_count`` of the files behind a frame, from their footers alone."""
+    return rows.select(file_path().alias("file_path")).groupBy("file_path").agg(F.count(F.lit(1)).alias("record_count"))
+
+
+def file_inventory(
+    spark: SparkSession, path: str, schema: T.StructType, layout: Layout, records: bool = False
+) -> DataFrame:
+    """One row per data file: its partition values, path and bytes, and if asked its records.
 
-    Only partition columns and file footers are read. Counting by file first keeps
-    the shuffle at one row per file and task.
+    Path and bytes come from the listing, values from the folder names. ``records`` reads
+    the footers as well.
     """
-    return (
-        df.select(*parts, *file_columns())
-        .groupBy(*parts, "file_path", "file_size_in_bytes")
-        .agg(F.count(F.lit(1)).alias("record_count"))
-    )
+    files = file_listing(spark, path)
+    if records:
+        files = with_records(files, read_partitioned(spark, path, schema, layout))
+    return files.select(*layout.values(schema, F.col("file_path")), *files.columns)
 
 
-def file_columns() -> list[Column]:
-    return [
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size_in_bytes"),
-    ]
+def with_records(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Listed files with the number of rows that a frame over them has in each."""
+    counted = files.join(record_counts(rows), "file_path", "left")
+    return counted.select(*files.columns, F.coalesce("record_count", F.lit(0).cast("long")).alias("record_count"))
 
 
 def partition_file_stats(files: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """Files, mean size in MB and records of each partition, most files first."""
-    megabytes = F.round(F.avg("file_size_in_bytes") / 1024 / 1024, 2)
-    return (
-        files.groupBy(*parts)
-        .agg(
-            F.count(F.lit(1)).alias("file_count"),
-            megabytes.alias("avg_file_size_mb"),
-            F.sum("record_count").alias("records"),
-        )
-        .orderBy(F.col("file_count").desc(), *parts)
-    )
+    """Files and mean size in MB of each partition, most files first; records if they are there."""
+    measures = [
+        F.count(F.lit(1)).alias("file_count"),
+        F.round(F.avg("file_size_in_bytes") / 1024 / 1024, 2).alias("avg_file_size_mb"),
+    ]
+    if "record_count" in files.columns:
+        measures.append(F.sum("record_count").alias("records"))
+    return files.groupBy(*parts).agg(*measures).orderBy(F.col("file_count").desc(), *parts)
 
 
 def partition_count(df: DataFrame, parts: Sequence[str]) -> DataFrame:

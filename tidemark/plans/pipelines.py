@@ -187,14 +187,17 @@ def replicate(
     * a new version that alters nothing in the target: a log row only (``LOGGED``);
     * otherwise a merge and a log row (``MERGED``).
 
-    A column that the source gained is added to the target first. The target keeps the source's time in ``source_updated_timestamp`` and the load
-    time in ``updated_at``.
+    A column that the source gained is added to the target together with the first change
+    that is merged. The target keeps the source's time in ``source_updated_timestamp`` and the
+    load time in ``updated_at``.
     """
     at = at or now()
     new = source.latest_version()
     old = control.last_version(pipeline)
+    held = None
     if old is None:
-        old = bootstrap_version(source.commits(), target.as_of())
+        held = target.as_of()
+        old = bootstrap_version(source.commits(), held)
         control.completed(pipeline, *names, old, at)
     if old == new:
         return ReplicationResult("SKIPPED", old, new, {}, 0)
@@ -203,15 +206,15 @@ def replicate(
     found = snapshot_diff(before, after, key, dedup_by=updated_at)
     found = found.withColumnRenamed(updated_at, RENAMED_TIME).persist()
     compare = [c for c in found.columns if c not in (key, CHANGE_TYPE)]
-    held = set(target.as_of().columns)
-    gained = {f.name: f.dataType.simpleString() for f in found.schema.fields if f.name in compare and f.name not in held}
-    if gained:
-        target.add_columns(gained, committed_at=at)
-    effective = effective_changes(found, target.as_of(), key, compare).persist()
+    held = target.as_of() if held is None else held
+    effective = effective_changes(found, held, key, compare).persist()
     try:
         summary = {r[0]: r[1] for r in found.groupBy(CHANGE_TYPE).count().collect()}
         applied = effective.count()
         if applied:
+            gained = {f.name: f.dataType.simpleString() for f in found.schema.fields if f.name in compare and f.name not in held.columns}
+            if gained:
+                target.add_columns(gained, committed_at=at)
             is_delete = F.col(f"s.{CHANGE_TYPE}") == DELETE
             target.merge(
                 effective.withColumn("updated_at", ntz(at)),

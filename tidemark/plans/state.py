@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import ntz
+from tidemark.functions import ntz, part_code
 from tidemark.operators.dedup import latest_per_key
 from tidemark.plans.table import version_at
 from tidemark.session import local_frame
@@ -70,25 +69,44 @@ def newer_rows(
 
 
 class Watermarks:
-    """The watermark of each pipeline, as an append-only log whose latest row counts."""
+    """The watermark of each pipeline.
+
+    ``<root>/pipeline=<code>/slot=<0 or 1>`` holds one row. A new one gets the next number of its
+    pipeline and replaces the older of the two, so the newest is there at any moment, the
+    order does not depend on clocks, and two small files a pipeline are all there ever are. Each
+    pipeline has one writer at a time; pipelines do not touch each other's rows.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        ensure_folder(spark, root, WATERMARK_LOG)
 
     def rows(self) -> DataFrame:
         """One row per pipeline."""
-        log = self.spark.read.schema(WATERMARK_LOG).parquet(self.root)
-        return latest_per_key(log, ["pipeline_name"], "entry").drop("entry")
+        return latest_per_key(self._log(), ["pipeline_name"], "entry").select(*WATERMARKS.names)
+
+    def _log(self) -> DataFrame:
+        more = [T.StructField("pipeline", T.StringType()), T.StructField("slot", T.IntegerType())]
+        schema = T.StructType([*WATERMARK_LOG.fields, *more])
+        try:
+            # A slot may be replaced while it is read; the other one is newer then.
+            return self.spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(self.root)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return local_frame(self.spark, [], schema)
+
+    def _own(self, pipeline: str) -> DataFrame:
+        return self._log().where((F.col("pipeline") == part_code(F.lit(pipeline))) & (F.col("pipeline_name") == pipeline))
 
     def seed(self, pipeline: str, at: dt.datetime | None = None) -> None:
         """A first row for a pipeline that has none."""
-        if not self.rows().where(F.col("pipeline_name") == pipeline).take(1):
+        if self._own(pipeline).isEmpty():
             self.set(pipeline, BEGINNING, "initial", INITIALIZED, at)
 
     def get(self, pipeline: str) -> dt.datetime:
-        return watermark_of(self.rows(), pipeline).first()["last_watermark"]
+        newest = self._own(pipeline).orderBy(F.col("entry").desc()).limit(1)
+        return watermark_of(newest, pipeline).first()["last_watermark"]
 
     def set(
         self,
@@ -98,8 +116,15 @@ class Watermarks:
         status: str,
         at: dt.datetime | None = None,
     ) -> None:
-        row = (pipeline, watermark, run_id, status, at or now(), time.time_ns())
-        append_row(self.spark, row, WATERMARK_LOG, self.root)
+        entry = (self._own(pipeline).agg(F.max("entry")).first()[0] or 0) + 1
+        row = local_frame(self.spark, [(pipeline, watermark, run_id, status, at or now(), entry)], WATERMARK_LOG)
+        (
+            row.withColumns({"pipeline": part_code(F.col("pipeline_name")), "slot": (F.col("entry") % 2).cast("int")})
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("pipeline", "slot")
+            .parquet(self.root)
+        )
 
 
 def ensure_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:

@@ -1,30 +1,40 @@
 """A Parquet folder that keeps its versions.
 
-    <root>/data/version=<n>/<partition folders>/*.parquet
-    <root>/log/version=<n>/*.parquet    one 'commit' row, one row per 'add' or 'cut' folder
+    <root>/data/commit_id=<id>/commit_batch=<n>/<partition folders>/*.parquet
+    <root>/log/entry=<first version>/*.parquet
 
-A commit writes only the partitions it changes. ``cut`` says that what earlier
-versions hold in a partition folder is gone, ``add`` that this version holds rows there; the
-content of a version is every ``add`` with no later ``cut``. Changing 1 GB of a
-100 TB table thus rewrites the touched partitions, not the table.
+A commit writes only the partitions it changes, under an id of its own. Its log entry lists
+every folder that the new version consists of, those it took over included, so a version is
+read from one entry and nothing has to be replayed. Changing 1 GB of a 100 TB table rewrites the
+touched partitions and a list of folders, not the table.
 
-The log is written last and makes the version visible; data of a commit that died before
-is overwritten by the next one. One writer per table at a time.
+The entry is written last, in a mode that fails if it is there: of two writers that started
+from the same version one is refused and loses no row of the other. Data without an entry, of
+a commit that died or was refused, is never read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Collection, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import in_month_range, ntz
-from tidemark.operators.layout import Layout, file_columns, gathered, partition_file_stats
+from tidemark.functions import in_month_range, in_months, ntz
+from tidemark.operators.layout import (
+    Layout,
+    file_listing,
+    file_path,
+    gathered,
+    partition_file_stats,
+    record_counts,
+)
 from tidemark.operators.merge import (
     Clause,
     delete_matching,
@@ -35,27 +45,27 @@ from tidemark.operators.merge import (
 )
 from tidemark.session import local_frame
 
-COMMIT, ADD, CUT = "commit", "add", "cut"
-LOG = T.StructType(
-    [
-        T.StructField("kind", T.StringType()),
-        T.StructField("folder", T.StringType()),
-        T.StructField("committed_at", T.TimestampNTZType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("table_schema", T.StringType()),
-        T.StructField("layout", T.StringType()),
-        T.StructField("replaces_all", T.BooleanType()),
-        T.StructField("version", T.LongType()),
-    ]
+COMMIT, FOLDER = "commit", "folder"
+#: A folder that a version consists of: all its files, or those named. ``month`` is the number
+#: in its name, of the column ``month_of``.
+FOLDERS = (
+    "kind string, version bigint, layout string, write string, batch int, folder string,"
+    " month_of string, month int, files array<string>"
 )
-VERSION = "version"
-FILE = ["file_path", "file_size_in_bytes"]
+LOG = f"{FOLDERS}, committed_at timestamp_ntz, operation string, table_schema string"
+TAKEN = ("version", "commit_id", "commit_batch")
+#: The parts of a data file's path: id, batch, partition folder, file.
+DATA_FILE = r".*/data/commit_id=([^/]+)/commit_batch=(\d+)/(?:(.*)/)?([^/]+)$"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    """``take_over`` lets the next commit replace a log entry without rows, as a writer leaves it
+    that dies while it publishes. Set it only when no other writer is at work."""
+
+    def __init__(self, spark: SparkSession, root: str, take_over: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.take_over = take_over
 
     # ---- log ---------------------------------------------------------------
 
@@ -75,13 +85,11 @@ class VersionedTable:
         return table
 
     def exists(self) -> bool:
-        log = self._read_if_there(f"{self.root}/log", LOG)
-        return log is not None and log.where(F.col("kind") == COMMIT).take(1) != []
+        return not self._commits().isEmpty()
 
     def commits(self) -> DataFrame:
         """The commit log: version, committed_at, operation."""
-        commits = self._log().where(F.col("kind") == COMMIT)
-        return commits.select("version", "committed_at", "operation")
+        return self._commits().select("version", "committed_at", "operation")
 
     def latest_version(self) -> int:
         return latest_version(self.commits())
@@ -100,29 +108,42 @@ class VersionedTable:
     ) -> DataFrame:
         """The table at a version, at a time, or now.
 
-        ``months`` keeps rows whose month-layout date lies in ``[start, end)`` and reads
-        only those folders. ``with_layout`` keeps the derived partition columns.
+        ``months`` keeps rows whose month-layout date lies in ``[start, end)``; other folders
+        are neither listed nor read. ``with_layout`` keeps the derived partition columns.
         """
         if timestamp is not None:
             version = self.version_at(timestamp)
         state = self._state(version)
-        rows = self._read(state, state.live)
+        rows = self._read(state, self._folders(state, months).collect())
         if months is not None:
-            if state.layout.month_of is None:
-                raise ValueError("this version is not laid out by month")
-            date, month = state.layout.month_of, state.layout.month
-            rows = rows.where(in_month_range(F.col(date), *months, F.col(month)))
-        names = state.schema.fieldNames() + (state.layout.derived if with_layout else [])
-        return rows.select(*names)
+            rows = rows.where(in_month_range(F.col(state.layout.month_of), *months, F.col(state.layout.month)))
+        return rows.select(*state.names, *(state.layout.columns if with_layout else []))
 
     def versions(self) -> DataFrame:
-        """Rows of every version, with the column ``version``."""
-        numbers = [r[0] for r in self.commits().select("version").orderBy("version").collect()]
-        frames = [self.as_of(n).withColumn("version", F.lit(n).cast("long")) for n in numbers]
-        whole = frames[0]
-        for frame in frames[1:]:
-            whole = whole.unionByName(frame, allowMissingColumns=True)
-        return whole
+        """Rows of every version, with the column ``version``.
+
+        Each file is read once, however many versions share it: its rows are joined to the
+        interval of versions in which it was part of the table.
+        """
+        log = self._log()
+        schemas = self._commits().groupBy("table_schema").agg(F.min("version").alias("since")).orderBy("since").collect()
+        schema = _merged([T.StructType.fromJson(json.loads(r["table_schema"])) for r in schemas])
+        place = ["write", "batch", "folder", "files", "layout"]
+        intervals = (
+            log.where(F.col("kind") == FOLDER).groupBy(*place).agg(F.min("version").alias("first"), F.max("version").alias("last"))
+        )
+        # One row per folder and set of files; a folder that was ever whole is read as a whole.
+        found = intervals.select(*place).distinct().collect()
+        whole = {(r["write"], r["batch"], r["folder"]) for r in found if r["files"] is None}
+        wanted = [r for r in found if r["files"] is None or (r["write"], r["batch"], r["folder"]) not in whole]
+        columns = [f.name for f in schema.fields]
+        scans = [s.select(*columns, *_place(file_path())) for _, s in self._scans(schema, _merged_files(wanted))]
+        rows = reduce(DataFrame.union, scans) if scans else self._nothing(schema, "__write string, __batch int, __folder string, __file string")
+        spans = intervals.select(*[F.col(c).alias(f"__of_{c}") for c in place], "first", "last")
+        here = [F.col(f"__{c}") == F.col(f"__of_{c}") for c in ("write", "batch", "folder")]
+        named = F.col("__of_files").isNull() | F.array_contains("__of_files", F.col("__file"))
+        held = rows.join(spans, [*here, named])
+        return held.select(*columns, F.explode(F.sequence("first", "last")).alias("version"))
 
     def changed_between(self, old: int, new: int, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
         """Both versions, cut down to keys that occur in folders they do not share.
@@ -132,28 +153,42 @@ class VersionedTable:
         join before anything is shuffled for the diff itself.
         """
         before, after = self._state(old), self._state(new)
-        shared = before.live & after.live
+        was, is_now = self._folders(before).collect(), self._folders(after).collect()
+        shared = {_key(r) for r in was} & {_key(r) for r in is_now}
         if not shared:
-            return self.as_of(old), self.as_of(new)
-        only_old = self._read(before, before.live - shared).select(*before.schema.fieldNames())
-        only_new = self._read(after, after.live - shared).select(*after.schema.fieldNames())
+            return self._rows(before, was), self._rows(after, is_now)
+        only_old = self._rows(before, [r for r in was if _key(r) not in shared])
+        only_new = self._rows(after, [r for r in is_now if _key(r) not in shared])
         touched = only_old.select(*keys).union(only_new.select(*keys)).distinct()
 
-        def whole(state, rest):
-            kept = self._read(state, shared).select(*state.schema.fieldNames())
+        def whole(state, rows, rest):
+            kept = self._rows(state, [r for r in rows if _key(r) in shared])
             return rest.unionByName(kept.join(touched, list(keys), "left_semi"))
 
-        return whole(before, only_old), whole(after, only_new)
+        return whole(before, was, only_old), whole(after, is_now, only_new)
 
-    def files(self, version: int | None = None, parts: Sequence[str] = ()) -> DataFrame:
-        """One row per live file: partition, path, bytes, records."""
-        return self._files(self._state(version), parts)
+    def files(self, version: int | None = None, records: bool = False) -> DataFrame:
+        """One row per live file: partition values, path, bytes and, if asked, records.
 
-    def file_stats(self, version: int | None = None) -> DataFrame:
-        """File count, mean size and records of each partition of the present layout."""
+        Files are listed, not opened; ``records`` reads their footers. Folders of an older
+        layout have NULL for values that their names do not give.
+        """
         state = self._state(version)
-        parts = state.layout.columns
-        return partition_file_stats(self._files(state, parts), parts)
+        live = self._folders(state).collect()
+        files = self._listing(live)
+        if records:
+            counts = [record_counts(scan) for _, scan in self._scans(state.schema, live)]
+            if counts:
+                files = files.join(reduce(DataFrame.union, counts), "file_path", "left")
+            else:
+                files = files.withColumn("record_count", F.lit(None).cast("long"))
+            files = files.withColumn("record_count", F.coalesce("record_count", F.lit(0).cast("long")))
+        return files.select(*state.layout.values(state.schema, F.col("file_path")), *files.columns)
+
+    def file_stats(self, version: int | None = None, records: bool = True) -> DataFrame:
+        """File count, mean size and records of each partition of the present layout."""
+        files = self.files(version, records)
+        return partition_file_stats(files, [c for c in files.columns if c not in FILE])
 
     # ---- commits -----------------------------------------------------------
 
@@ -164,28 +199,17 @@ class VersionedTable:
     def append_in_batches(
         self, df: DataFrame, batch: Column, batches: int, committed_at: dt.datetime | None = None
     ) -> int:
-        """One commit per batch number in ``[0, batches)``, written in a single pass.
+        """One version per batch number in ``[0, batches)``, written in a single pass.
 
-        A batch without rows is a commit that adds nothing; a row whose number is NULL or
+        A batch without rows is a version that adds nothing; a row whose number is NULL or
         outside the range fails the write.
         """
         state = self._state()
-        first = state.version + 1
-        self._require_free(range(first, first + batches))
         outside = F.raise_error(F.concat(F.lit("no such batch: "), F.coalesce(batch.cast("string"), F.lit("NULL"))))
-        number = F.when((batch >= 0) & (batch < batches), (batch + first).cast("long")).otherwise(outside.cast("long"))
-        numbered = df.withColumn("version", number)
-        fitted = self._fitted(numbered, state.schema, ["version"])
-        rows = gathered(state.layout.add(fitted), state.layout, ["version"])
-        numbers = list(range(first, first + batches))
-        for n in numbers:
-            self._clear(n)
-        rows.write.mode("append").partitionBy("version", *state.layout.columns).parquet(
-            f"{self.root}/data"
-        )
-        moment = _moment(state, committed_at)
-        self._log_commits(numbers, "append", state.schema, state.layout, moment)
-        return numbers[-1]
+        number = F.when((batch >= 0) & (batch < batches), batch.cast("int")).otherwise(outside.cast("int"))
+        numbered = df.withColumn("commit_batch", number)
+        rows = state.layout.add(self._fitted(numbered, state.schema, ["commit_batch"]))
+        return self._commit(state, rows, "append", state.layout, committed_at, batches=batches)
 
     def overwrite(
         self,
@@ -200,9 +224,12 @@ class VersionedTable:
         return self._commit(state, df, operation, layout, committed_at, replaces_all=True)
 
     def overwrite_partitions(self, df: DataFrame, committed_at: dt.datetime | None = None) -> int:
-        """Replace the partitions that occur in ``df``, whole, and no others."""
+        """Replace the partitions that occur in ``df``, whole, and no others.
+
+        The rows may come from the table itself: what they were read from stays.
+        """
         state = self._state()
-        if any(state.layouts[v] != state.layout for v, _ in state.live):
+        if not self._folders(state).where(F.col("layout") != _layout_text(state.layout)).isEmpty():
             raise ValueError("older folders use another layout: rewrite the table first")
         return self._commit(state, df, "overwrite", state.layout, committed_at, cut_written=True)
 
@@ -210,9 +237,8 @@ class VersionedTable:
         """Nullable columns from now on; no data is rewritten."""
         state = self._state()
         fields = list(state.schema.fields)
-        known = set(state.schema.fieldNames())
         for name, kind in columns.items():
-            if name not in known:
+            if name not in state.names:
                 parsed = T.StructType.fromDDL(f"`{name}` {kind}")
                 fields.append(parsed.fields[0])
         return self._alter(state, T.StructType(fields), state.layout, committed_at)
@@ -240,7 +266,6 @@ class VersionedTable:
             source.count()  # measures its size, which decides whether it is broadcast
             keys = source.select(*on).distinct()
             return self._rewrite(
-                self._state(),
                 lambda rows: rows.join(keys, list(on), "left_semi"),
                 lambda rows: merge_into(rows, source, on, matched, not_matched, source_unique),
                 "merge",
@@ -253,17 +278,12 @@ class VersionedTable:
     def update_where(
         self, predicate: Column, values: Mapping[str, object], committed_at: dt.datetime | None = None
     ) -> int:
-        state = self._state()
-        layout = state.layout
-        stays = not {layout.month_of, *layout.identity, layout.bucket and layout.bucket[0]} & set(values)
         return self._rewrite(
-            state,
             lambda rows: rows.where(predicate),
             lambda rows: update_where(rows, predicate, values),
             "update",
             committed_at,
-            # Rows that stay in their folder can be written by the task that read them.
-            gather=not stays,
+            values,
         )
 
     def delete_matching(
@@ -273,7 +293,6 @@ class VersionedTable:
         try:
             keys.count()  # measures their size, which decides whether they are broadcast
             return self._rewrite(
-                self._state(),
                 lambda rows: rows.join(keys, list(on), "left_semi"),
                 lambda rows: delete_matching(rows, keys, on),
                 "delete",
@@ -285,28 +304,49 @@ class VersionedTable:
     def compact(
         self, target_file_bytes: int = 128 << 20, committed_at: dt.datetime | None = None
     ) -> int | None:
-        """Rewrite partitions that hold several files of less than the target size on average."""
+        """Merge files of less than the target size, within each folder name, into files of about it.
+
+        Small files are put into bins in the order of their names, each bin becomes one file of
+        less than twice the target. Larger files, a bin's only file and folders of an older
+        layout stay as they are.
+        """
         state = self._state()
-        sizes = (
-            self._files(state)
-            .groupBy(self._folder(F.col("file_path")).alias("folder"))
-            .agg(F.count(F.lit(1)).alias("files"), F.avg("file_size_in_bytes").alias("mean"))
+        live = self._folders(state).where(F.col("layout") == _layout_text(state.layout)).collect()
+        files = self._listing(live).select("*", *_place(F.col("file_path")))
+        folder = Window.partitionBy("__folder")
+        before = F.sum("file_size_in_bytes").over(
+            folder.orderBy("__write", "__batch", "__file").rowsBetween(Window.unboundedPreceding, -1)
         )
-        small = sizes.where((F.col("files") > 1) & (F.col("mean") < target_file_bytes))
-        folders = {r[0] for r in small.select("folder").collect()}
-        if not folders:
+        small = files.where(F.col("file_size_in_bytes") < target_file_bytes)
+        binned = small.withColumn("bin", F.floor(F.coalesce(before, F.lit(0)) / target_file_bytes))
+        in_bin = F.count(F.lit(1)).over(Window.partitionBy("__folder", "bin"))
+        # One row per small file: what Spark itself keeps of the files of a scan.
+        merged = binned.withColumn("n", in_bin).where(F.col("n") > 1).select("__write", "__batch", "__folder", "__file", "bin").collect()
+        if not merged:
             return None
-        rows = self._read(state, {(v, f) for v, f in state.live if f in folders})
-        rows = rows.select(*state.schema.fieldNames())
-        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        before = self.spark.conf.get(key, None)
-        self.spark.conf.set(key, str(target_file_bytes))
-        try:
-            return self._commit(
-                state, rows, "compact", state.layout, committed_at, cuts=sorted(folders)
-            )
-        finally:
-            self.spark.conf.unset(key) if before is None else self.spark.conf.set(key, before)
+        bins = {key: i for i, key in enumerate(sorted({(r["__folder"], r["bin"]) for r in merged}))}
+        chosen = [(r["__write"], r["__batch"], r["__folder"], r["__file"], bins[r["__folder"], r["bin"]]) for r in merged]
+        dealt = local_frame(self.spark, chosen, "__write string, __batch int, __folder string, __file string, bin int")
+        by_file = ["__write", "__batch", "__folder", "__file"]
+        layout_text = _layout_text(state.layout)
+        parts: dict[tuple, list[str]] = {}
+        for write, batch, name, file, _ in chosen:
+            parts.setdefault((write, batch, name), []).append(file)
+        sources = [Row(write=w, batch=b, folder=f, files=names, layout=layout_text) for (w, b, f), names in parts.items()]
+        (_, scan), = self._scans(state.schema, sources)
+        placed = scan.select(*state.names, *state.layout.columns, *_place(file_path())).join(dealt, by_file)
+        rows = placed.repartitionById(len(bins), "bin").select(*state.names, *state.layout.columns)
+
+        # What stays of the folders that lost files, by name.
+        touched = local_frame(self.spark, list(parts), "write string, batch int, folder string")
+        same_folder = ["write", "batch", "folder"]
+        left = files.join(dealt, by_file, "left_anti").select(*[F.col(f"__{c}").alias(c) for c in same_folder], "__file")
+        left = left.join(touched, same_folder, "left_semi").groupBy(*same_folder).agg(F.collect_list("__file").alias("left"))
+        now = self._folders(state)
+        kept = now.join(touched, same_folder, "left_anti").unionByName(
+            now.join(left, same_folder).withColumn("files", F.col("left")).select(*now.columns)
+        )
+        return self._commit(state, rows, "compact", state.layout, committed_at, kept=kept, fitted=True)
 
     def restore_rows(
         self,
@@ -346,98 +386,106 @@ class VersionedTable:
     # ---- inner workings ----------------------------------------------------
 
     def _state(self, version: int | None = None) -> _State:
-        log = self._log()
-        rows = log.where(F.col("kind") == COMMIT).orderBy("version").collect()
-        if not rows:
-            raise ValueError("the table has no versions")
-        if version is None:
-            version = rows[-1]["version"]
-        rows = [r for r in rows if r["version"] <= version]
-        if not rows or rows[-1]["version"] != version:
+        """What the log says of one version; its folders are in ``_folders``."""
+        commits = self._commits()
+        if version is not None:
+            commits = commits.where((F.col("entry") <= version) & (F.col("version") == version))
+        found = commits.orderBy(F.col("version").desc()).limit(1).collect()
+        if not found and version is not None and self.exists():
             raise ValueError(f"version {version} was never committed")
-        floor = max([r["version"] for r in rows if r["replaces_all"]], default=0)
-        cut = F.max(F.when(F.col("kind") == CUT, F.col("version"))).over(Window.partitionBy("folder"))
-        live = (
-            log.where((F.col("kind") != COMMIT) & F.col("version").between(floor, version))
-            .select("version", "folder", "kind", cut.alias("cut"))
-            .where((F.col("kind") == ADD) & (F.col("version") >= F.coalesce("cut", F.lit(0))))
-            .select("version", "folder")
-        )
-        # One row per live folder: metadata, like the file listing Spark itself keeps.
-        return _State(
-            version=version,
-            committed_at=rows[-1]["committed_at"],
-            schema=T.StructType.fromJson(json.loads(rows[-1]["table_schema"])),
-            layouts={r["version"]: _layout_from(r["layout"]) for r in rows},
-            live={(r["version"], r["folder"]) for r in live.collect()},
-        )
-
-    def _read(
-        self, state: _State, folders: set[tuple[int, str]], with_file: bool = False
-    ) -> DataFrame:
-        """Table columns and derived columns of the present layout, from the given folders."""
-        groups: dict[Layout, list[str]] = {}
-        for version, folder in sorted(folders):
-            path = self._data(version) + (f"/{folder}" if folder else "")
-            groups.setdefault(state.layouts[version], []).append(path)
+        if not found:
+            raise ValueError("the table has no versions")
+        row = found[0]
+        schema = T.StructType.fromJson(json.loads(row["table_schema"]))
+        return _State(row["version"], row["entry"], row["committed_at"], schema, _layout_from(row["layout"]))
+
+    def _folders(self, state: _State, months: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+        """The folders of a version, those that other months fill left out."""
+        entry = self.spark.read.schema(FOLDERS).parquet(f"{self.root}/log/entry={state.entry}")
+        rows = entry.where((F.col("kind") == FOLDER) & (F.col("version") == state.version))
+        if months is None:
+            return rows
+        date = state.layout.month_of
+        if date is None:
+            raise ValueError("this version is not laid out by month")
+        # Folders of a layout by another column say nothing about this one.
+        other = ~F.col("month_of").eqNullSafe(F.lit(date))
+        return rows.where(other | in_months(F.col("month"), *months))
+
+    def _scans(self, schema: T.StructType, folders: Collection[Row]) -> list[tuple[Layout, DataFrame]]:
+        """One scan for the folders of each layout, with the columns of the layout."""
+        groups: dict[str, list[str]] = {}
+        for row in sorted(folders, key=lambda r: (r["write"], r["batch"], r["folder"])):
+            path = f"{self._data(row['write'])}/commit_batch={row['batch']}"
+            path += f"/{row['folder']}" if row["folder"] else ""
+            groups.setdefault(row["layout"], []).extend([path] if row["files"] is None else [f"{path}/{f}" for f in row["files"]])
+        scans = []
+        for text, paths in groups.items():
+            layout = _layout_from(text)
+            reader = self.spark.read.schema(layout.schema(schema)).option("basePath", f"{self.root}/data")
+            scans.append((layout, reader.parquet(*paths)))
+        return scans
+
+    def _read(self, state: _State, folders: Collection[Row], with_folder: bool = False) -> DataFrame:
+        """Table columns and columns of the present layout, from the given folders."""
         wanted = state.layout.schema(state.schema)
-        whole = None
-        for layout, paths in groups.items():
-            rows = (
-                self.spark.read.schema(layout.schema(state.schema))
-                .option("basePath", f"{self.root}/data")
-                .parquet(*paths)
-            )
-            if with_file:
-                rows = rows.select("*", *file_columns())
+        frames = []
+        for layout, rows in self._scans(state.schema, folders):
+            if with_folder:
+                rows = rows.select("*", *_place(file_path()))
             if layout != state.layout:
                 rows = state.layout.add(rows)
-            rows = rows.select(*wanted.names, *(FILE if with_file else []))
-            whole = rows if whole is None else whole.unionByName(rows)
-        if whole is None:
-            whole = local_frame(self.spark, [], wanted)
-            if with_file:
-                whole = whole.withColumns(
-                    {"file_path": F.lit(""), "file_size_in_bytes": F.lit(0).cast("long")}
-                )
-        return whole
-
-    def _files(self, state: _State, parts: Sequence[str] = ()) -> DataFrame:
-        return (
-            self._read(state, state.live, with_file=True)
-            .groupBy(*parts, *FILE)
-            .agg(F.count(F.lit(1)).alias("record_count"))
-        )
-
-    def _folder(self, file_path: Column) -> Column:
-        """The partition folder below ``version=<n>`` of a data file."""
-        return F.regexp_extract(_decoded(file_path), r".*/data/version=\d+/(?:(.*)/)?[^/]+$", 1)
+            frames.append(rows.select(*wanted.names, *(["__folder"] if with_folder else [])))
+        if not frames:
+            return self._nothing(wanted, "__folder string" if with_folder else None)
+        return reduce(DataFrame.unionByName, frames)
+
+    def _rows(self, state: _State, folders: Collection[Row]) -> DataFrame:
+        return self._read(state, folders).select(*state.names)
+
+    def _nothing(self, schema: T.StructType, more: str | None = None) -> DataFrame:
+        return local_frame(self.spark, [], T.StructType([*schema.fields, *(T.StructType.fromDDL(more).fields if more else [])]))
+
+    def _listing(self, folders: Collection[Row]) -> DataFrame:
+        """The files of the given folders, by listing."""
+        whole = [r for r in folders if r["files"] is None]
+        cut = [r for r in folders if r["files"] is not None]
+        paths = [
+            f"{self._data(r['write'])}/commit_batch={r['batch']}" + (f"/{r['folder']}" if r["folder"] else "") + name
+            for r in whole + cut
+            for name in ([""] if r["files"] is None else [f"/{f}" for f in r["files"]])
+        ]
+        if not paths:
+            return local_frame(self.spark, [], "file_path string, file_size_in_bytes bigint")
+        return file_listing(self.spark, *paths)
 
     def _rewrite(
         self,
-        state: _State,
         touching: Callable[[DataFrame], DataFrame],
         change: Callable[[DataFrame], DataFrame],
         operation: str,
         committed_at: dt.datetime | None,
-        gather: bool = True,
+        values: Mapping[str, object] | None = None,
     ) -> int:
         """Replace the folders in which ``touching`` finds a row by their changed content."""
-        hits = touching(self._read(state, state.live, with_file=True))
-        hits = hits.select(self._folder(F.col("file_path")).alias("folder")).distinct()
+        state = self._state()
+        live = self._folders(state).collect()
+        hits = touching(self._read(state, live, with_folder=True)).select("__folder").distinct()
+        # One row per touched folder name.
         found = {r[0] for r in hits.collect()}
-        touched = {(v, f) for v, f in state.live if f in found}
-        gather = gather or any(state.layouts[v] != state.layout for v, _ in touched)
-        rows = self._read(state, touched).select(*state.schema.fieldNames())
-        return self._commit(
-            state, change(rows), operation, state.layout, committed_at, cuts=sorted(found), gather=gather
-        )
+        touched = [r for r in live if r["folder"] in found]
+        # Rows that stay in their folder can be written by the task that read them.
+        layout = state.layout
+        moved = values is None or {layout.month_of, *layout.identity, layout.bucket and layout.bucket[0]} & set(values)
+        gather = bool(moved) or any(r["layout"] != _layout_text(layout) for r in touched)
+        kept = self._folders(state).join(local_frame(self.spark, [(f,) for f in sorted(found)], "folder string"), "folder", "left_anti")
+        rows = change(self._rows(state, touched))
+        return self._commit(state, rows, operation, layout, committed_at, kept=kept, gather=gather)
 
     def _alter(self, state, schema, layout, committed_at) -> int:
         n = state.version + 1
-        self._require_free([n])
-        moment = _moment(state, committed_at)
-        self._write_log([_commit_row(n, "alter", schema, layout, moment, False)])
+        row = _commit_row(n, "alter", schema, layout, _moment(state, committed_at))
+        self._publish(n, [row], self._folders(state).withColumn("version", F.lit(n).cast("long")))
         return n
 
     def _fitted(self, df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
@@ -459,107 +507,101 @@ class VersionedTable:
         operation: str,
         layout: Layout,
         committed_at: dt.datetime | None,
-        cuts: Sequence[str] = (),
         replaces_all: bool = False,
         cut_written: bool = False,
+        kept: DataFrame | None = None,
+        batches: int | None = None,
         gather: bool = True,
+        fitted: bool = False,
     ) -> int:
+        """Write ``df``, then publish a version of what it wrote and the folders that are kept.
+
+        Kept are all folders of ``state`` unless ``kept`` says which; none with
+        ``replaces_all``; with ``cut_written`` those under whose name nothing was written. ``batches``
+        makes a version of each number of the column ``commit_batch``. ``fitted`` rows are
+        written as they come, by the tasks that hold them.
+        """
         n = 1 if state is None else state.version + 1
-        self._require_free([n])
+        self._require_free(n)
         moment = _moment(state, committed_at)
         schema = df.schema if replaces_all else state.schema
-        if VERSION in schema.fieldNames():
-            raise ValueError(f"the column name {VERSION!r} is taken by the table itself")
+        taken = [c for c in TAKEN if c in schema.fieldNames()]
+        if taken:
+            raise ValueError(f"the column name {taken[0]!r} is taken by the table itself")
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-        rows = layout.add(self._fitted(df, schema))
-        if gather:
-            rows = gathered(rows, layout)
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*layout.columns)
-            .parquet(self._data(n))
+        write = uuid.uuid4().hex
+        if fitted:
+            df.write.partitionBy(*layout.columns).parquet(f"{self._data(write)}/commit_batch=0")
+        elif batches is None:
+            rows = layout.add(self._fitted(df, schema))
+            rows = gathered(rows, layout) if gather else rows
+            rows.write.partitionBy(*layout.columns).parquet(f"{self._data(write)}/commit_batch=0")
+        else:
+            rows = gathered(df, layout, ["commit_batch"])
+            rows.write.partitionBy("commit_batch", *layout.columns).parquet(self._data(write))
+        last = n + (batches or 1) - 1
+        new = self._written(write, layout)
+        if kept is None and not replaces_all:
+            kept = self._folders(state)
+            if cut_written:
+                kept = kept.join(new.select("folder").distinct(), "folder", "left_anti")
+
+        def until_last(first: Column) -> Column:
+            return F.explode(F.sequence(first.cast("long"), F.lit(last).cast("long"))).alias("version")
+
+        folders = new.select(*[c for c in new.columns if c != "version"], until_last(F.lit(n) + F.col("batch")))
+        if kept is not None:
+            folders = folders.unionByName(kept.select(*[c for c in kept.columns if c != "version"], until_last(F.lit(n))))
+        self._publish(n, [_commit_row(i, operation, schema, layout, moment) for i in range(n, last + 1)], folders)
+        return last
+
+    def _written(self, write: str, layout: Layout) -> DataFrame:
+        """The folders that one commit has written, by listing them."""
+        month = layout.month
+        number = F.regexp_extract("folder", f"(?:^|/){month}=(-?[0-9]+)(?:/|$)", 1) if month else F.lit("")
+        found = file_listing(self.spark, self._data(write)).select(*_place(F.col("file_path")))
+        found = found.select("__write", "__batch", "__folder").distinct()
+        return found.select(
+            F.lit(FOLDER).alias("kind"),
+            F.lit(None).cast("long").alias("version"),
+            F.lit(_layout_text(layout)).alias("layout"),
+            F.col("__write").alias("write"),
+            F.col("__batch").alias("batch"),
+            F.col("__folder").alias("folder"),
+            F.lit(layout.month_of).cast("string").alias("month_of"),
+            number.try_cast("int").alias("month"),
+            F.lit(None).cast("array<string>").alias("files"),
         )
-        self._log_commits(
-            [n], operation, schema, layout, moment, replaces_all, cuts, cut_written
-        )
-        return n
 
-    def _log_commits(
-        self,
-        numbers: Sequence[int],
-        operation: str,
-        schema: T.StructType,
-        layout: Layout,
-        moment: dt.datetime,
-        replaces_all: bool = False,
-        cuts: Sequence[str] = (),
-        cut_written: bool = False,
-    ) -> None:
-        """Make written versions visible, with the folders found in their data."""
-        # Only footers are read: a row gives the end of its path, "version=<n>/<folder>".
-        depth = len(layout.columns) + 1
-        tail = F.substring_index("_metadata.file_path", "/", -(depth + 1))
-        there = [n for n in numbers if len(numbers) == 1 or self._read_if_there(self._data(n), schema) is not None]
-        rows = [_commit_row(n, operation, schema, layout, moment, replaces_all) for n in numbers]
-        rows += [(CUT, folder, None, None, None, None, None, numbers[0]) for folder in cuts]
-        if not there:
-            self._write_log(rows)
-            return
-        found = (
-            self.spark.read.schema(schema)
-            .option("basePath", f"{self.root}/data")
-            .parquet(*[self._data(n) for n in there])
-            .select(F.substring_index(tail, "/", depth).alias("tail"))
-            .distinct()
-        )
-        number = F.regexp_extract("tail", r"^version=(\d+)", 1).cast("long")
-        written = found.select(
-            number.alias("version"), _decoded(F.regexp_extract("tail", "^[^/]*/?(.*)$", 1)).alias("folder")
-        )
-        kinds = F.array(*[F.lit(k) for k in ([ADD, CUT] if cut_written else [ADD])])
-        folders = written.select("version", "folder", F.explode(kinds).alias("kind"))
-        self._write_log(rows, folders)
-
-    def _require_free(self, numbers: Iterable[int]) -> None:
-        """Refuses to replace a version that another writer has committed meanwhile."""
-        for n in numbers:
-            if self._read_if_there(f"{self.root}/log/version={n}", LOG) is not None:
-                raise RuntimeError(f"version {n} was committed by another writer; read the table again")
-
-    def _write_log(self, rows: list[tuple], folders: DataFrame | None = None) -> None:
-        entries = local_frame(self.spark, rows, LOG)
-        if folders is not None:
-            entries = entries.unionByName(folders, allowMissingColumns=True)
-        (
-            entries.coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("version")
-            .parquet(f"{self.root}/log")
-        )
-
-    def _clear(self, n: int) -> None:
-        """Empty the data folder that a failed commit may have left for a version."""
-        nothing = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
-        if self._read_if_there(self._data(n), nothing) is not None:
-            empty = local_frame(self.spark, [], nothing)
-            # A partitioned write of no rows leaves no file behind.
-            (
-                empty.write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy("b")
-                .parquet(self._data(n))
-            )
+    def _require_free(self, n: int) -> None:
+        """Refuses early what ``_publish`` would refuse after the data was written."""
+        found = self._read_if_there(f"{self.root}/log/entry={n}", LOG)
+        if found is not None and not (self.take_over and found.isEmpty()):
+            raise RuntimeError(f"version {n} was committed by another writer; read the table again")
+
+    def _publish(self, n: int, rows: list[tuple], folders: DataFrame) -> None:
+        """Make versions visible. One file if it is small, several if not."""
+        entries = local_frame(self.spark, rows, LOG).unionByName(folders, allowMissingColumns=True)
+        mode = "overwrite" if self.take_over else "errorifexists"
+        self._require_free(n)
+        try:
+            entries.hint("rebalance").write.mode(mode).parquet(f"{self.root}/log/entry={n}")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise RuntimeError(f"version {n} was committed by another writer; read the table again") from problem
 
-    def _data(self, n: int) -> str:
-        return f"{self.root}/data/version={n}"
+    def _data(self, write: str) -> str:
+        return f"{self.root}/data/commit_id={write}"
 
     def _log(self) -> DataFrame:
-        found = self._read_if_there(f"{self.root}/log", LOG)
-        return local_frame(self.spark, [], LOG) if found is None else found
+        found = self._read_if_there(f"{self.root}/log", f"{LOG}, entry bigint")
+        return local_frame(self.spark, [], f"{LOG}, entry bigint") if found is None else found
+
+    def _commits(self) -> DataFrame:
+        return self._log().where(F.col("kind") == COMMIT)
 
-    def _read_if_there(self, path: str, schema: T.StructType) -> DataFrame | None:
+    def _read_if_there(self, path: str, schema: str) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as problem:
@@ -568,19 +610,55 @@ class VersionedTable:
             return None
 
 
+FILE = ("file_path", "file_size_in_bytes", "record_count")
+
+
 class _State:
-    """What one version consists of."""
+    """What one version consists of, but for its folders."""
 
-    def __init__(self, version, committed_at, schema, layouts, live):
+    def __init__(self, version, entry, committed_at, schema, layout):
         self.version: int = version
+        self.entry: int = entry
         self.committed_at: dt.datetime = committed_at
         self.schema: T.StructType = schema
-        self.layouts: dict[int, Layout] = layouts
-        self.live: set[tuple[int, str]] = live
+        self.layout: Layout = layout
 
     @property
-    def layout(self) -> Layout:
-        return self.layouts[self.version]
+    def names(self) -> list[str]:
+        return self.schema.fieldNames()
+
+
+def _place(path: Column) -> list[Column]:
+    """Where a data file lies: id, batch, partition folder and name."""
+    id_, batch, folder, file = (F.regexp_extract(path, DATA_FILE, i) for i in (1, 2, 3, 4))
+    return [id_.alias("__write"), batch.try_cast("int").alias("__batch"), folder.alias("__folder"), file.alias("__file")]
+
+
+def _key(row: Row) -> tuple:
+    return row["write"], row["batch"], row["folder"], None if row["files"] is None else tuple(sorted(row["files"]))
+
+
+def _merged_files(rows: Collection[Row]) -> list[Row]:
+    """One row a folder, with every file that any of its rows names."""
+    by_place: dict[tuple, Row] = {}
+    for row in rows:
+        place = row["write"], row["batch"], row["folder"]
+        have = by_place.get(place)
+        if have is not None and have["files"] is not None:
+            names = sorted({*have["files"], *row["files"]})
+            row = Row(write=place[0], batch=place[1], folder=place[2], files=names, layout=row["layout"])
+        by_place[place] = row
+    return list(by_place.values())
+
+
+def _merged(schemas: Sequence[T.StructType]) -> T.StructType:
+    """The columns of all schemas by name, the first seen first."""
+    fields: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            if fields.setdefault(f.name, f).dataType != f.dataType:
+                raise ValueError(f"column {f.name!r} changed its type between versions")
+    return T.StructType(list(fields.values()))
 
 
 def latest_version(commits: DataFrame) -> int:
@@ -600,11 +678,6 @@ def version_at(commits: DataFrame, moment: dt.datetime) -> int:
     return top[0]["version"]
 
 
-def _decoded(path: Column) -> Column:
-    """A file path as the file system spells it; in ``_metadata`` it is URL-encoded."""
-    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
-
-
 def _moment(state: _State | None, committed_at: dt.datetime | None) -> dt.datetime:
     """When a commit counts as made: never before the one it follows."""
     before = dt.datetime.min if state is None else state.committed_at
@@ -615,8 +688,9 @@ def _moment(state: _State | None, committed_at: dt.datetime | None) -> dt.dateti
     return committed_at
 
 
-def _commit_row(n, operation, schema, layout, moment, replaces_all) -> tuple:
-    return (COMMIT, None, moment, operation, schema.json(), _layout_text(layout), replaces_all, n)
+def _commit_row(n, operation, schema, layout, moment) -> tuple:
+    text = _layout_text(layout)
+    return (COMMIT, n, text, None, None, None, None, None, None, moment, operation, schema.json())
 
 
 def _layout_text(layout: Layout) -> str:

@@ -1,6 +1,6 @@
 """Where rows come from and where they go."""
 
-from tidemark.sources.delimited import read_csv, write_rows
+from tidemark.sources.delimited import read_csv, read_rows, write_rows
 from tidemark.sources.literal import literal_rows
 from tidemark.sources.replica import JdbcReplica, TableReplica
 from tidemark.sources.samples import sample_inventory, sample_orders, sample_warehouses
@@ -10,6 +10,7 @@ __all__ = [
     "TableReplica",
     "literal_rows",
     "read_csv",
+    "read_rows",
     "sample_inventory",
     "sample_orders",
     "sample_warehouses",

@@ -21,9 +21,9 @@ def read_csv(
     """Comma-separated text with a header line and ``"`` quotes.
 
     Without a schema the types are inferred, which reads the files once more. Use
-    ``escape='"'`` for files that double their quotes, and with ``null_value=NULL_TEXT``
-    for files of ``write_rows``. A field that does not fit its type becomes NULL, or fails
-    the query with ``mode="FAILFAST"``.
+    ``escape='"'`` for files that double their quotes; ``read_rows`` reads files of
+    ``write_rows``. A field that does not fit its type becomes NULL, or fails the query with
+    ``mode="FAILFAST"``.
     """
     reader = (
         spark.read.option("header", True)
@@ -39,6 +39,17 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
+def read_rows(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, file_format: str = "csv"
+) -> DataFrame:
+    """What ``write_rows`` has written: NULL, empty text, padding and quotes come back as they were."""
+    if file_format == "csv":
+        return read_csv(spark, path, schema, escape='"', null_value=NULL_TEXT)
+    if file_format == "parquet":
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    raise ValueError("file_format must be 'csv' or 'parquet'")
+
+
 def typed(df: DataFrame, types: dict[str, str], bad_values: str = "fail") -> DataFrame:
     """Named columns cast to the given types, in that order.
 
