@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import uuid
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +12,7 @@ from tidemark.operators import (
     apply_changes,
     apply_corrections,
     change_summary,
+    compare_versions,
     duplicate_keys,
     effective_changes,
     latest_per_key,
@@ -233,3 +236,85 @@ def test_effective_changes_once_a_key_and_with_columns_the_target_lacks(spark):
     target = spark.createDataFrame([(1, "a"), (1, "x"), (1, "b"), (2, "y"), (3, "z"), (3, "z")], "id long, v string")
     found = effective_changes(changes, target, "id", ["v", "w"])
     assert sorted(r["id"] for r in found.collect()) == [1, 3]
+
+
+def test_raw_diff_of_many_columns_that_may_be_null(spark):
+    names = [f"c{i}" for i in range(70)]
+    rng = random.Random(3)
+
+    def rows(n):
+        return [(rng.randrange(6) or None, *[rng.choice([0, 0, 0, None]) if i % 7 == k % 7 else 0 for i in range(69)], rng.choice([0, 1, None])) for k in range(n)]
+
+    old, new = rows(40), rows(40)
+    expected = {}
+    for n in new:
+        facing = [o for o in old if n[0] is not None and o[0] == n[0]]
+        pairs = sum(any(a is not None and b is not None and a != b for a, b in zip(o[1:], n[1:])) for o in facing) if facing else 1
+        if pairs:
+            change = ("UPDATE" if facing else "INSERT", *n)
+            expected[change] = expected.get(change, 0) + pairs
+    for o in old:
+        if o[0] is None or all(n[0] != o[0] for n in new):
+            change = ("DELETE", o[0], *[None] * 70)
+            expected[change] = expected.get(change, 0) + 1
+    schema = "k int, " + ", ".join(f"{c} int" for c in names)
+    found = raw_diff(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), "k").collect()
+    assert {tuple(r)[:-1]: r["copies"] for r in found} == expected and len(found) == len(expected)
+
+
+def test_raw_diff_reads_each_side_once_and_exchanges_six_times(spark, conf, folder):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.range(100).selectExpr("id as k", "if(id % 9 = 0, null, id) as v", "cast(id as string) as s").write.parquet(f"{folder}/old")
+    spark.range(100).selectExpr("id + 5 as k", "id as v", "cast(id as string) as s").write.parquet(f"{folder}/new")
+    assert jobs_of(spark, lambda: raw_diff(spark.read.parquet(f"{folder}/old"), spark.read.parquet(f"{folder}/new"), "k")) <= 2
+    found = raw_diff(spark.read.parquet(f"{folder}/old"), spark.read.parquet(f"{folder}/new"), "k")
+    found.collect()
+    plan = plan_of(found).split("== Initial Plan ==")[0]
+    fresh = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(fresh) <= 6 and found.where("change_type = 'INSERT'").count() == 5
+
+
+def test_raw_diff_compares_some_columns(spark):
+    old = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, None, 3), (None, "x", 1)], "k int, s string, d int")
+    new = spark.createDataFrame([(1, "a", 7), (1, "a", 8), (2, "", 4), (None, "x", 1), (None, "x", 1), (3, None, 0)], "k int, s string, d int")
+    found = raw_diff(old, new, "k", compare=["s"])
+    assert rows_of(found) == rows_of_sorted(
+        [("UPDATE", 1, "a", 7, 1), ("UPDATE", 1, "a", 8, 1), ("INSERT", None, "x", 1, 2), ("INSERT", 3, None, 0, 1), ("DELETE", None, None, None, 1)]
+    )
+
+
+def test_diffs_fail_on_keys_that_repeat_without_dedup(spark):
+    once = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, s string")
+    for old, new in ((once, twice), (twice, once)):
+        with pytest.raises(Exception, match="k repeats: 1"):
+            snapshot_diff(old, new, "k", dedup_by=None).collect()
+        with pytest.raises(Exception, match="k repeats: 1"):
+            # Not even a count lets the check go.
+            snapshot_diff(old, new, "k", dedup_by=None).count()
+        with pytest.raises(Exception, match="k repeats: 1"):
+            compare_versions(old, new, "k", "s", dedup_by=None).collect()
+    assert snapshot_diff(once, once, "k", dedup_by=None).count() == 0
+
+
+def test_null_keys_stay_out_of_the_join(spark, conf, folder):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.range(10_010).selectExpr("if(id < 10000, null, id) as k", "id as v").write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    found = snapshot_diff(rows, rows, "k", dedup_by=None)
+    assert {r["change_type"]: r["count"] for r in found.groupBy("change_type").count().collect()} == {"DELETE": 10_000, "INSERT": 10_000}
+    plan = plan_of(found)
+    assert plan.count("Exchange hashpartitioning") == 2
+    joined, *alone = plan.split("SortMergeJoin")[1].split("PushedFilters: ")[1:]
+    assert joined.startswith("[IsNotNull(k)]") and [a[:11] for a in alone] == ["[IsNotNull(", "[IsNull(k)]", "[IsNull(k)]"]
+    assert compare_versions(rows, rows, "k", "v", dedup_by=None).count() == 0
+
+
+def jobs_of(spark, work):
+    group = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))

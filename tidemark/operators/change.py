@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,10 @@ def snapshot_diff(
 ) -> DataFrame:
     """What turns ``old`` into ``new``, one row per changed key.
 
-    Both sides are first reduced to the latest row per key by ``dedup_by``; pass None
-    only where keys are known not to repeat (see ``raw_diff`` otherwise). A DELETE
-    row carries the key alone. Dedup and join share one shuffle per side.
+    Both sides are first reduced to the latest row per key by ``dedup_by``. With None, keys
+    must not repeat: the query fails if one does (see ``raw_diff`` for keys that do). A DELETE
+    row carries the key alone. A NULL key matches nothing and stays out of the join. Dedup,
+    check and join share one shuffle per side.
     """
     if dedup_by is not None:
         old = latest_per_key(old, [key], dedup_by, tie_break, joins_on_keys=True)
@@ -40,23 +41,40 @@ def snapshot_diff(
     types = {f.name: f.dataType for f in new.schema.fields}
     # A column that came later is NULL on the old side.
     there = [F.col(c) if c in old.columns else F.lit(None).cast(types[c]).alias(c) for c in compare]
-    o = old.select(key, *there).withColumn("__held", F.lit(True)).alias("o")
-    n = new.withColumn("__held", F.lit(True)).alias("n")
+    was, is_now = old.where(F.col(key).isNotNull()), new.where(F.col(key).isNotNull())
+    if dedup_by is None:
+        was, is_now = _checked(was, key), _checked(is_now, key)
+    o = was.select(key, *there).withColumn("__held", F.lit(True)).alias("o")
+    n = is_now.withColumn("__held", F.lit(True)).alias("n")
     in_old, in_new = F.col("o.__held").isNotNull(), F.col("n.__held").isNotNull()
 
     changed = ~in_old | ~in_new
     for c in compare:
         changed = changed | differs(F.col(f"o.{c}"), F.col(f"n.{c}"), types[c], nulls)
     kind = F.when(~in_old, INSERT).when(~in_new, DELETE).otherwise(UPDATE)
-    return (
+    others = [c for c in new.columns if c != key]
+    joined = (
         o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
         .where(changed)
         .select(
             kind.alias(CHANGE_TYPE),
             F.coalesce(F.col(f"n.{key}"), F.col(f"o.{key}")).alias(key),
-            *[F.col(f"n.{c}").alias(c) for c in new.columns if c != key],
+            *[F.col(f"n.{c}").alias(c) for c in others],
         )
     )
+    gone = old.where(F.col(key).isNull()).select(
+        F.lit(DELETE).alias(CHANGE_TYPE), key, *[F.lit(None).cast(types[c]).alias(c) for c in others]
+    )
+    came = new.where(F.col(key).isNull()).select(F.lit(INSERT).alias(CHANGE_TYPE), key, *others)
+    return joined.unionByName(gone).unionByName(came)
+
+
+def _checked(df: DataFrame, key: str) -> DataFrame:
+    """The same rows; the query fails at a second row of a key. Spread and sorted as a join needs it."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    message = F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string"))
+    once = F.when(F.col("__place") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return df.withColumn("__place", place).where(once).drop("__place")
 
 
 def raw_diff(
@@ -71,96 +89,93 @@ def raw_diff(
     Those pairs are counted, never built: ``copies`` says how many differing pairs
     have this new row. A new row differs from all old rows of its key except those
     that compare equal, and both numbers come from group counts.
+
+    With ``nulls="empty"`` a column that is not text passes as equal where either side is NULL. So
+    rows meet once for each pattern of NULLs that the other side has under their key, on
+    the columns that neither pattern leaves out; where nothing is NULL that is once. Both
+    tables are read once, and no step needs all rows of a key in one task.
     """
-    compare = list(compare or [c for c in new.columns if c != key])
-    types = {f.name: f.dataType for f in new.schema.fields}
     if nulls not in ("safe", "empty"):
         raise ValueError("raw_diff compares with nulls='safe' or nulls='empty'")
-    # Strict columns are equal or not; a loose one also passes when either side is NULL.
-    loose = [c for c in compare if nulls == "empty" and not isinstance(types[c], T.StringType)]
-    strict = [c for c in compare if c not in loose]
-
-    def strict_value(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit("")) if nulls == "empty" else F.col(c)
-
-    # Which loose columns of a row are NULL, as a bit set. Few distinct ones occur.
-    mask = F.lit(0)
-    for place, c in enumerate(loose):
-        mask = mask + F.when(F.col(c).isNull(), 1 << place).otherwise(0)
-    old_masks = [r[0] for r in old.select(mask).distinct().collect()] if loose else []
-    new_masks = [r[0] for r in new.select(mask).distinct().collect()] if loose else []
-
-    def one_of(masks: Sequence[int]) -> Column:
-        return F.explode(F.array(*[F.lit(m) for m in masks])) if len(masks) > 1 else F.lit((masks or [0])[0])
-
-    def comparable(left_out: Column) -> list[Column]:
-        """The compared values, without the loose columns that are left out."""
-        kept = [strict_value(c).alias(f"__{c}") for c in strict]
-        for place, c in enumerate(loose):
-            out = left_out.bitwiseAND(F.lit(1 << place)) != 0
-            kept.append(F.when(~out, F.col(c)).alias(f"__{c}"))
-        return kept
-
-    compared_names = [f"__{c}" for c in compare]
-    old_rows = (
-        old.select(key, mask.alias("__old"), *comparable(F.lit(0)))
-        .groupBy(key, "__old", *compared_names)
-        .agg(F.count(F.lit(1)).alias("__n"))
+    compare = list(compare or [c for c in new.columns if c != key])
+    types = {f.name: f.dataType for f in new.schema.fields}
+    texts = [c for c in compare if nulls == "empty" and isinstance(types[c], T.StringType)]
+    loose = [c for c in compare if nulls == "empty" and c not in texts]
+    others = [c for c in new.columns if c != key and c not in compare]
+
+    def pattern(columns: Sequence[str]) -> Column:
+        """The places of the columns that are NULL: empty for most rows."""
+        marks = [F.when(F.col(c).isNull(), f",{i},").otherwise("") for i, c in enumerate(columns)]
+        return F.concat(*marks) if marks else F.lit("")
+
+    def side(df: DataFrame, is_new: bool) -> DataFrame:
+        values = [(F.coalesce(F.col(c), F.lit("")) if c in texts else F.col(c)).alias(f"__{c}") for c in compare]
+        # What a new row has beyond what is compared.
+        own = [F.col(c) if is_new else F.lit(None).cast(types[c]).alias(c) for c in others]
+        return df.select(
+            key,
+            *values,
+            pattern(loose).alias("__nulls"),
+            (pattern(texts) if is_new else F.lit("")).alias("__texts"),
+            *own,
+            F.lit(int(not is_new)).alias("__old"),
+            F.lit(int(is_new)).alias("__new"),
+        )
+
+    both = side(old, False).unionByName(side(new, True))
+    counted = [F.sum("__old").alias("__old"), F.sum("__new").alias("__new")]
+    rows = both.groupBy(*[c for c in both.columns if c not in ("__old", "__new")]).agg(*counted)
+    # The patterns of NULLs under each key, one for most. Grouped by a struct, so that the join gets
+    # an exchange of its own to split; it matches NULLs, which keeps both its sides the same scan.
+    patterns = rows.groupBy(F.struct(key).alias("__k"), F.col("__nulls").alias("__theirs")).agg(
+        F.sum("__old").alias("__olds"), F.sum("__new").alias("__news")
     )
-    new_rows = new.groupBy(*new.columns).agg(F.count(F.lit(1)).alias("__n"))
-    # Grouped by a struct, so that the join gets an exchange of its own to split.
-    totals = (
-        old_rows.groupBy(F.struct(key).alias("__k")).agg(F.sum("__n").alias("__total"))
-    ).select(f"__k.{key}", "__total")
-
-    # Old rows by what a new row with a given mask sees of them.
-    seen = old_rows.select("*", one_of(new_masks).alias("__new"))
-    out = F.col("__old").bitwiseOR(F.col("__new"))
-    hidden = [
-        F.when(out.bitwiseAND(F.lit(1 << loose.index(c))) == 0, F.col(f"__{c}")).alias(f"__{c}")
-        if c in loose
-        else F.col(f"__{c}")
+    patterns = patterns.select(F.col(f"__k.{key}").alias("__key"), "__theirs", "__olds", "__news")
+    met = rows.join(patterns, F.col(key).eqNullSafe(F.col("__key")))
+    old_there, new_there, some_key = F.col("__old") > 0, F.col("__new") > 0, F.col(key).isNotNull()
+
+    # A row takes part as a new and as an old one. A NULL key faces nobody.
+    as_new = F.when(new_there, F.array(F.lit(True)))
+    as_old = F.when(old_there, F.array(F.lit(False)))
+    no_part = F.array().cast("array<boolean>")
+    met = met.withColumn("__as_new", F.explode(F.concat(F.coalesce(as_new, no_part), F.coalesce(as_old, no_part))))
+    mine, theirs = F.col("__nulls"), F.col("__theirs")
+    old_nulls, new_nulls = F.when(F.col("__as_new"), theirs).otherwise(mine), F.when(F.col("__as_new"), mine).otherwise(theirs)
+    left_out = F.concat(mine, theirs)
+    seen = [
+        F.when(~left_out.contains(f",{loose.index(c)},"), F.col(f"__{c}")).alias(f"__{c}") if c in loose else F.col(f"__{c}")
         for c in compare
     ]
-    equal = (
-        seen.select(key, "__old", "__new", *hidden, "__n")
-        .groupBy(key, "__old", "__new", *compared_names)
-        .agg(F.sum("__n").alias("__equal"))
-        .alias("e")
-    )
-    looking = new_rows.select("*", one_of(old_masks).alias("__old"), mask.alias("__new"))
-    looking = looking.select("*", *comparable(F.col("__old").bitwiseOR(F.col("__new")))).alias("n")
-    met = F.col(f"n.{key}") == F.col(f"e.{key}")
-    for c in ["__old", "__new", *compared_names]:
-        met = met & F.col(f"n.{c}").eqNullSafe(F.col(f"e.{c}"))
-    columns = [F.col(f"n.{c}").alias(c) for c in new.columns]
-    equals = F.coalesce(F.col("e.__equal"), F.lit(0))
-    compared = looking.join(equal, met, "left")
-    if len(old_masks) > 1:
-        compared = compared.groupBy(*columns).agg(
-            F.first("n.__n").alias("__n"), F.sum(equals).alias("__equal")
-        )
-    else:
-        compared = compared.select(*columns, F.col("n.__n").alias("__n"), equals.alias("__equal"))
-    compared = compared.join(totals, key, "left")
-    inserted = F.col("__total").isNull()
-    pairs = F.when(inserted, F.col("__n")).otherwise(
-        F.col("__n") * (F.col("__total") - F.col("__equal"))
+    group = Window.partitionBy(F.struct(key, old_nulls.alias("old_nulls"), new_nulls.alias("new_nulls"), *seen))
+    told = met.withColumn("__equal", F.sum(F.when(~F.col("__as_new"), F.col("__old")).otherwise(0)).over(group))
+
+    # One row for each new row, over the patterns it met, and one for all old rows of a key.
+    is_new = F.col("__as_new")
+
+    def shown(c: str) -> Column:
+        value = F.col(c) if c in others else F.col(f"__{c}")
+        if c in texts:
+            value = F.when(~F.col("__texts").contains(f",{texts.index(c)},"), value)
+        return F.when(is_new, value).cast(types[c]).alias(c)
+
+    row = F.struct("__as_new", key, *[shown(c) for c in new.columns if c != key])
+    once = mine == theirs
+    summed = told.groupBy(row.alias("__row")).agg(
+        # Rows of either side under the key, and those equal to the new row.
+        F.sum(F.when(some_key, F.when(is_new, F.col("__olds")).otherwise(F.col("__news"))).otherwise(0)).alias("__faced"),
+        F.sum("__equal").alias("__equal"),
+        F.sum(F.when(once, F.when(is_new, F.col("__new")).otherwise(F.col("__old")))).alias("__own"),
     )
-    others = [c for c in new.columns if c != key]
-    arrived = compared.select(
-        F.when(inserted, INSERT).otherwise(UPDATE).alias(CHANGE_TYPE),
-        key,
-        *others,
-        pairs.alias(COPIES),
-    ).where(F.col(COPIES) > 0)
-    gone = totals.join(new.select(key).distinct(), key, "left_anti").select(
-        F.lit(DELETE).alias(CHANGE_TYPE),
-        key,
-        *[F.lit(None).cast(types[c]).alias(c) for c in others],
-        F.col("__total").alias(COPIES),
+    faced = F.col("__faced") > 0
+    kind = F.when(~F.col("__row.__as_new"), DELETE).when(faced, UPDATE).otherwise(INSERT)
+    copies = (
+        F.when(~F.col("__row.__as_new"), F.when(~faced, F.col("__own")).otherwise(0))
+        .when(faced, F.col("__own") * (F.col("__faced") - F.col("__equal")))
+        .otherwise(F.col("__own"))
     )
-    return arrived.unionByName(gone)
+    columns = [key, *[c for c in new.columns if c != key]]
+    found = summed.select(kind.alias(CHANGE_TYPE), *[F.col(f"__row.{c}").alias(c) for c in columns], copies.alias(COPIES))
+    return found.where(F.col(COPIES) > 0)
 
 
 def change_summary(changes: DataFrame, name: str = "count") -> DataFrame:
@@ -254,11 +269,15 @@ def compare_versions(
 ) -> DataFrame:
     """Rows held by both versions whose column differs; NULL on a side is no difference.
 
-    As in ``snapshot_diff``, None for ``dedup_by`` is for keys known not to repeat.
+    As in ``snapshot_diff``, None for ``dedup_by`` is for keys that do not repeat, and the query
+    fails if one does. A NULL key matches nothing.
     """
+    old, current = (df.where(F.col(key).isNotNull()) for df in (old, current))
     if dedup_by is not None:
         old = latest_per_key(old, [key], dedup_by, joins_on_keys=True)
         current = latest_per_key(current, [key], dedup_by, joins_on_keys=True)
+    else:
+        old, current = _checked(old, key), _checked(current, key)
     before = old.select(key, F.col(column).alias(f"old_{column}"))
     now = current.select(key, F.col(column).alias(f"current_{column}"))
     return (
