@@ -17,7 +17,7 @@ from tidemark.operators import (
     update_where,
     upsert,
 )
-from tidemark.operators.sizes import broadcast_checked, provably_small
+from tidemark.operators.sizes import measured
 
 T0, T1, T2 = (dt.datetime(2026, 6, 24, h) for h in (9, 10, 11))
 SCHEMA = "k bigint, v string, at timestamp_ntz, n int"
@@ -212,9 +212,7 @@ def test_small_source_never_shuffles_the_target(spark, folder):
     spark.range(1000).selectExpr("id as k", "cast(id as string) as v").write.parquet(folder)
     target = spark.read.parquet(folder)
     source = spark.createDataFrame([(1, "x"), (5000, "y")], "k bigint, v string").persist()
-    assert not provably_small(source)
     source.count()  # from here on its size is known
-    assert provably_small(source)
     merged = upsert(target, source, ["k"], source_unique=True)
     plan = merged._jdf.queryExecution().executedPlan().toString()
     updated, inserted = plan[: plan.index("LeftAnti")], plan[plan.index("LeftAnti") :]
@@ -245,17 +243,10 @@ def test_hot_target_key_is_split(spark, conf):
         assert report.first()["rows"] == 60000 + 6667
 
 
-def test_broadcast_only_within_its_bound(spark):
-    dim = spark.range(50)
-    small = broadcast_checked(dim, max_rows=50)
-    large = broadcast_checked(dim, max_rows=49)
+def test_broadcast_only_within_a_bound_in_bytes(spark, conf):
+    dim = measured(spark.range(5000).selectExpr("id", "sha2(cast(id as string), 256) as name"))
     fact = spark.range(10)
-    assert "hint" in fact.join(small, "id")._jdf.queryExecution().logical().toString().lower()
-    assert large is dim
-
-
-def test_size_estimate(spark, conf):
-    small = spark.range(10)
-    assert provably_small(small)
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    assert not provably_small(small)
+    assert "BroadcastHashJoin" in final_plan(fact.join(dim, "id", "left"))
+    # The file of the dimension is larger than this, and only it could be broadcast here.
+    conf(spark__sql__autoBroadcastJoinThreshold="10KB")
+    assert "BroadcastHashJoin" not in fact.join(dim, "id", "left")._jdf.queryExecution().executedPlan().toString()

@@ -16,7 +16,7 @@ from tidemark.acceptance.views import (
     with_sql,
 )
 from tidemark.functions import in_month_range
-from tidemark.operators.sizes import broadcast_checked
+from tidemark.operators.sizes import measured
 
 CITY_DIM_SQL = """
     city_dim as (
@@ -51,8 +51,8 @@ def dim_join_sortmerge(spark, sf_dir):
 
 @query(BY_REGION_SQL)
 def dim_join_broadcast(spark, sf_dir):
-    """With a broadcast of the dimension, whose size is checked first."""
-    dim = broadcast_checked(city_dim(spark, sf_dir))
+    """With a broadcast of the dimension, whose size in bytes is measured first."""
+    dim = measured(city_dim(spark, sf_dir))
     joined = v_orders(spark, sf_dir).join(dim, "city", "left")
     return joined.groupBy("region", "city_tier").agg(F.count(F.lit(1)).alias("orders"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import bucket_of, month_ordinal, part_code, part_value
-from tidemark.operators.sizes import broadcast_checked
+from tidemark.operators.sizes import measured
 
 #: Fixed value: the folder name of a NULL partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -136,8 +136,8 @@ def replace_partitions(
     """
     by = {name: f"__{name}" for name in layout.columns}
     present = layout.add(incoming).select(*layout.columns).distinct().withColumnsRenamed(by)
-    # One row per partition; counted, then broadcast, so that the target is not shuffled.
-    present = broadcast_checked(present)
+    # One row per partition: small enough, as a rule, to be broadcast, so that the target is not shuffled.
+    present = measured(present)
     same = [F.col(name).eqNullSafe(F.col(other)) for name, other in by.items()]
     kept = layout.add(target).join(present, same, "left_anti").select(*target.columns)
     return kept.unionByName(incoming.select(*target.columns))

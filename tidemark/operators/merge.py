@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import first_per_key
-from tidemark.operators.sizes import provably_small
 
 _COPY = "__copy"
 _ACTION = "__action"
@@ -190,10 +189,11 @@ def _inserted_part(target, source, on, clauses, source_unique):
 
 
 def held_keys(target, source, on, source_unique):
-    """Keys of the target, for an anti join of the source; a small source cuts them down first."""
-    keys = target.select(*on)
-    if provably_small(source):
-        keys = keys.join(source.select(*on).distinct(), on, "left_semi")
+    """Keys of the target that the source has, for an anti join of the source.
+
+    Cut down to them before anything is made distinct; a small source is broadcast for that.
+    """
+    keys = target.select(*on).join(source.select(*on).distinct(), on, "left_semi")
     if source_unique:
         return keys.distinct()
     # A source key may be hot: leave the join its own exchange (see _matched_part).

@@ -3,23 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tidemark.session import work_folder
 
-def provably_small(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df``.
-
-    For a persisted and counted frame the estimate is the measured size.
-    """
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    # A new frame, because a frame keeps the estimate it was first asked for.
-    size = df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
 
+def measured(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: made once, and its size in bytes is known.
 
-def broadcast_checked(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``dim`` stays within ``max_rows``."""
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    That size alone decides whether Spark broadcasts it in a join: within
+    ``spark.sql.autoBroadcastJoinThreshold`` it does, beyond it both sides are shuffled.
+    """
+    path = work_folder(df.sparkSession, "measured")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
