@@ -5,11 +5,12 @@ import os
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from tidemark.functions import in_month_range, month_ordinal, stock_status
+from tidemark.functions import in_month_range, in_months, month_ordinal, stock_status
 from tidemark.functions.stock import adjusted_stock
 from tidemark.operators.layout import (
     Layout,
     add_columns,
+    bytes_scanned,
     empty_like,
     ensure_table,
     file_inventory,
@@ -174,3 +175,13 @@ def test_stock_rules(spark):
     assert {r["sync_version"] for r in moved} == {2} and {r["damaged_quantity"] for r in moved} == {21}
     kept = rows.select(adjusted_stock(F.lit(0), first_version=None)["sync_version"].alias("v"))
     assert {r["v"] for r in kept.collect()} == {None}
+
+
+def test_bytes_scanned_are_those_of_the_folders_asked_for(spark, folder):
+    layout = Layout("day")
+    write_partitioned(days(spark), folder, layout)
+    back = read_partitioned(spark, folder, days(spark).schema, layout)
+    february = glob.glob(f"{folder.removeprefix('file:')}/day_month=673/*.parquet")
+    whole = glob.glob(f"{folder.removeprefix('file:')}/*/*.parquet")
+    found = bytes_scanned(spark, folder, back.where(in_months(F.col("day_month"), dt.date(2026, 2, 1), dt.date(2026, 3, 1)))).first()
+    assert (found["bytes_read"], found["bytes"]) == (sum(map(os.path.getsize, february)), sum(map(os.path.getsize, whole)))

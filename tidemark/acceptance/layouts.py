@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.acceptance.registry import query
@@ -17,10 +19,11 @@ from tidemark.acceptance.views import (
     v_orders,
     with_sql,
 )
-from tidemark.functions import in_month_range
+from tidemark.functions import in_month_range, in_months
 from tidemark.operators.layout import (
     Layout,
     batch_of,
+    bytes_scanned,
     empty_like,
     ensure_table,
     file_inventory as list_files,
@@ -89,6 +92,28 @@ def bucket_layout_revenue(spark, sf_dir):
     return january_revenue(landed.where(in_month_range(F.col("order_date"), *JANUARY)))
 
 
+@query(
+    with_sql("v_orders")
+    + f"""
+    select layout, layout = 'month' as reads_less, count(*)::bigint as jan_orders, sum(order_amount)::double as jan_revenue
+    from v_orders cross join (values ('plain'), ('month'), ('bucket')) as l(layout)
+    where {IN_JANUARY} group by all"""
+)
+def data_scanned_by_layout(spark, sf_dir):
+    """January's orders and revenue from three layouts, and whether fewer bytes were read than are there."""
+    layouts = {"plain": Layout(), "month": BY_MONTH, "bucket": Layout(bucket=("customer_id", 10))}
+    answers = []
+    for name, layout in layouts.items():
+        path, landed = _landed(spark, v_orders(spark, sf_dir), layout)
+        month = F.col(layout.month) if layout.month else None
+        january = landed.where(in_month_range(F.col("order_date"), *JANUARY, month))
+        folders = landed if month is None else landed.where(in_months(month, *JANUARY))
+        named = F.lit(name).alias("layout")
+        less = bytes_scanned(spark, path, folders).select(named, (F.col("bytes_read") < F.col("bytes")).alias("reads_less"))
+        answers.append(january_revenue(january).select(named, "*").join(less, "layout"))
+    return reduce(DataFrame.unionByName, answers)
+
+
 @query(
     PLAIN_SQL
     + f"""

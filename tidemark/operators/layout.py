@@ -190,6 +190,14 @@ def file_inventory(
     return files.select(*layout.values(schema, F.col("file_path")), *files.columns)
 
 
+def bytes_scanned(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """One row: ``bytes_read`` of the files that a frame filtered by folder columns reads, of all ``bytes``."""
+    read = record_counts(rows).select("file_path", F.lit(True).alias("__read"))
+    files = file_listing(spark, path).join(read, "file_path", "left")
+    size = F.col("file_size_in_bytes")
+    return files.agg(F.sum(F.when(F.col("__read"), size).otherwise(0)).alias("bytes_read"), F.sum(size).alias("bytes"))
+
+
 def with_records(files: DataFrame, rows: DataFrame) -> DataFrame:
     """Listed files with the number of rows that a frame over them has in each."""
     counted = files.join(record_counts(rows), "file_path", "left")
