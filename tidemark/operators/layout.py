@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 from tidemark.functions import bucket_of, month_ordinal, part_code, part_value
 from tidemark.operators.sizes import measured
 
-#: Fixed value: the folder name of a NULL partition value.
+# The folder name of a NULL or empty partition value, and the signs that Spark
+# writes as % and two digits in one, control characters apart.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED_SIGNS = "\"#%'*/:=?\\\x7f{[]^"
 
 
 @dataclass(frozen=True)
@@ -79,6 +81,13 @@ class Layout:
         return values
 
 
+def escaped(value: str | None) -> str:
+    """A partition value or column as it stands in a folder name."""
+    if not value:
+        return NO_VALUE
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED_SIGNS or 0 < ord(c) < 32 else c for c in value)
+
+
 def gathered(df: DataFrame, layout: Layout, and_by: Sequence[str] = ()) -> DataFrame:
     """Rows of one folder brought together before a write, so that tasks open few files.
 

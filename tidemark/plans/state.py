@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +29,9 @@ WATERMARKS = T.StructType(
     ]
 )
 WATERMARK_LOG = T.StructType([*WATERMARKS.fields, T.StructField("entry", T.LongType())])
+_SLOTS = T.StructType(
+    [*WATERMARK_LOG.fields, T.StructField("pipeline", T.StringType()), T.StructField("slot", T.IntegerType())]
+)
 CONTROL = T.StructType(
     [
         T.StructField("pipeline_name", T.StringType()),
@@ -80,21 +83,15 @@ class Watermarks:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        ensure_folder(spark, root, _SLOTS, ["pipeline", "slot"])
 
     def rows(self) -> DataFrame:
         """One row per pipeline."""
         return latest_per_key(self._log(), ["pipeline_name"], "entry").select(*WATERMARKS.names)
 
     def _log(self) -> DataFrame:
-        more = [T.StructField("pipeline", T.StringType()), T.StructField("slot", T.IntegerType())]
-        schema = T.StructType([*WATERMARK_LOG.fields, *more])
-        try:
-            # A slot may be replaced while it is read; the other one is newer then.
-            return self.spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(self.root)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return local_frame(self.spark, [], schema)
+        # A slot may be replaced while it is read; the other one is newer then.
+        return self.spark.read.schema(_SLOTS).option("ignoreMissingFiles", True).parquet(self.root)
 
     def _own(self, pipeline: str) -> DataFrame:
         return self._log().where((F.col("pipeline") == part_code(F.lit(pipeline))) & (F.col("pipeline_name") == pipeline))
@@ -127,14 +124,9 @@ class Watermarks:
         )
 
 
-def ensure_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def ensure_folder(spark: SparkSession, path: str, schema: T.StructType, parts: Sequence[str] = ()) -> None:
     """An empty Parquet folder unless there is one."""
-    try:
-        spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        local_frame(spark, [], schema).write.parquet(path)
+    local_frame(spark, [], schema).write.mode("ignore").partitionBy(*parts).parquet(path)
 
 
 def append_row(spark: SparkSession, row: tuple, schema: T.StructType, path: str) -> None:

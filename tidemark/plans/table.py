@@ -22,13 +22,14 @@ from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import in_month_range, in_months, ntz
 from tidemark.operators.layout import (
     Layout,
+    escaped,
     file_listing,
     file_path,
     gathered,
@@ -79,6 +80,8 @@ class VersionedTable:
     ) -> VersionedTable:
         """A new table whose first version holds ``df``."""
         table = cls(df.sparkSession, root)
+        # The folder of the log is there before it is looked into.
+        local_frame(df.sparkSession, [], LOG).write.mode("ignore").parquet(f"{table.root}/log/entry=0")
         if table.exists():
             raise ValueError(f"{root} already holds a table")
         table._commit(None, df, "create", layout or Layout(), committed_at, replaces_all=True)
@@ -137,13 +140,16 @@ class VersionedTable:
         whole = {(r["write"], r["batch"], r["folder"]) for r in found if r["files"] is None}
         wanted = [r for r in found if r["files"] is None or (r["write"], r["batch"], r["folder"]) not in whole]
         columns = [f.name for f in schema.fields]
-        scans = [s.select(*columns, *_place(file_path())) for _, s in self._scans(schema, _merged_files(wanted))]
-        rows = reduce(DataFrame.union, scans) if scans else self._nothing(schema, "__write string, __batch int, __folder string, __file string")
-        spans = intervals.select(*[F.col(c).alias(f"__of_{c}") for c in place], "first", "last")
-        here = [F.col(f"__{c}") == F.col(f"__of_{c}") for c in ("write", "batch", "folder")]
-        named = F.col("__of_files").isNull() | F.array_contains("__of_files", F.col("__file"))
-        held = rows.join(spans, [*here, named])
-        return held.select(*columns, F.explode(F.sequence("first", "last")).alias("version"))
+        path = F.col("_metadata.file_path")
+        at = [_folder_key(path).alias("__at"), *([_file_name(path).alias("__file")] if len(whole) < len(found) else [])]
+        scans = [scan.select(*columns, *at) for _, scan in self._scans(schema, _merged_files(wanted))]
+        rows = reduce(DataFrame.union, scans) if scans else self._nothing(schema, "__at string, __file string")
+        place = F.concat_ws("/", "write", F.concat(F.lit("commit_batch="), "batch"), F.when(F.col("folder") != "", F.col("folder")))
+        spans = intervals.select(place.alias("__of"), F.col("files").alias("__files"), "first", "last")
+        here = F.col("__at") == F.col("__of")
+        if "__file" in rows.columns:
+            here = here & (F.col("__files").isNull() | F.array_contains("__files", F.col("__file")))
+        return rows.join(spans, here).select(*columns, F.explode(F.sequence("first", "last")).alias("version"))
 
     def changed_between(self, old: int, new: int, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
         """Both versions, cut down to keys that occur in folders they do not share.
@@ -426,18 +432,18 @@ class VersionedTable:
             scans.append((layout, reader.parquet(*paths)))
         return scans
 
-    def _read(self, state: _State, folders: Collection[Row], with_folder: bool = False) -> DataFrame:
+    def _read(self, state: _State, folders: Collection[Row], with_path: bool = False) -> DataFrame:
         """Table columns and columns of the present layout, from the given folders."""
         wanted = state.layout.schema(state.schema)
         frames = []
         for layout, rows in self._scans(state.schema, folders):
-            if with_folder:
-                rows = rows.select("*", *_place(file_path()))
+            if with_path:
+                rows = rows.select("*", F.col("_metadata.file_path").alias("__path"))
             if layout != state.layout:
                 rows = state.layout.add(rows)
-            frames.append(rows.select(*wanted.names, *(["__folder"] if with_folder else [])))
+            frames.append(rows.select(*wanted.names, *(["__path"] if with_path else [])))
         if not frames:
-            return self._nothing(wanted, "__folder string" if with_folder else None)
+            return self._nothing(wanted, "__path string" if with_path else None)
         return reduce(DataFrame.unionByName, frames)
 
     def _rows(self, state: _State, folders: Collection[Row]) -> DataFrame:
@@ -470,9 +476,10 @@ class VersionedTable:
         """Replace the folders in which ``touching`` finds a row by their changed content."""
         state = self._state()
         live = self._folders(state).collect()
-        hits = touching(self._read(state, live, with_folder=True)).select("__folder").distinct()
+        hits = touching(self._read(state, live, with_path=True)).select("__path").distinct()
         # One row per touched folder name.
-        found = {r[0] for r in hits.collect()}
+        names = hits.select(F.regexp_extract(_decoded("__path"), DATA_FILE, 3)).distinct()
+        found = {r[0] for r in names.collect()}
         touched = [r for r in live if r["folder"] in found]
         # Rows that stay in their folder can be written by the task that read them.
         layout = state.layout
@@ -522,7 +529,6 @@ class VersionedTable:
         written as they come, by the tasks that hold them.
         """
         n = 1 if state is None else state.version + 1
-        self._require_free(n)
         moment = _moment(state, committed_at)
         schema = df.schema if replaces_all else state.schema
         taken = [c for c in TAKEN if c in schema.fieldNames()]
@@ -531,16 +537,19 @@ class VersionedTable:
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
         write = uuid.uuid4().hex
         if fitted:
-            df.write.partitionBy(*layout.columns).parquet(f"{self._data(write)}/commit_batch=0")
+            rows = df
         elif batches is None:
             rows = layout.add(self._fitted(df, schema))
             rows = gathered(rows, layout) if gather else rows
-            rows.write.partitionBy(*layout.columns).parquet(f"{self._data(write)}/commit_batch=0")
         else:
             rows = gathered(df, layout, ["commit_batch"])
-            rows.write.partitionBy("commit_batch", *layout.columns).parquet(self._data(write))
+        by = [*(["commit_batch"] if batches else []), *layout.columns]
+        # The write itself says which folders it fills: each distinct set of values is one.
+        seen = Observation()
+        rows = rows.observe(seen, F.collect_set(F.struct(F.lit(0).alias("__any"), *[F.col(c).cast("string").alias(c) for c in by])).alias("folders"))
+        rows.write.partitionBy(*by).parquet(self._data(write) + ("" if batches else "/commit_batch=0"))
         last = n + (batches or 1) - 1
-        new = self._written(write, layout)
+        new = self._written(write, layout, seen.get["folders"], batches)
         if kept is None and not replaces_all:
             kept = self._folders(state)
             if cut_written:
@@ -555,37 +564,23 @@ class VersionedTable:
         self._publish(n, [_commit_row(i, operation, schema, layout, moment) for i in range(n, last + 1)], folders)
         return last
 
-    def _written(self, write: str, layout: Layout) -> DataFrame:
-        """The folders that one commit has written, by listing them."""
-        month = layout.month
-        number = F.regexp_extract("folder", f"(?:^|/){month}=(-?[0-9]+)(?:/|$)", 1) if month else F.lit("")
-        found = file_listing(self.spark, self._data(write)).select(*_place(F.col("file_path")))
-        found = found.select("__write", "__batch", "__folder").distinct()
-        return found.select(
-            F.lit(FOLDER).alias("kind"),
-            F.lit(None).cast("long").alias("version"),
-            F.lit(_layout_text(layout)).alias("layout"),
-            F.col("__write").alias("write"),
-            F.col("__batch").alias("batch"),
-            F.col("__folder").alias("folder"),
-            F.lit(layout.month_of).cast("string").alias("month_of"),
-            number.try_cast("int").alias("month"),
-            F.lit(None).cast("array<string>").alias("files"),
-        )
-
-    def _require_free(self, n: int) -> None:
-        """Refuses early what ``_publish`` would refuse after the data was written."""
-        found = self._read_if_there(f"{self.root}/log/entry={n}", LOG)
-        if found is not None and not (self.take_over and found.isEmpty()):
-            raise RuntimeError(f"version {n} was committed by another writer; read the table again")
+    def _written(self, write: str, layout: Layout, filled: Sequence[Row], batches: int | None) -> DataFrame:
+        """The folders that one commit has written, given the values of each."""
+        text = _layout_text(layout)
+        rows = []
+        for values in filled:
+            batch = int(values["commit_batch"]) if batches else 0
+            folder = "/".join(f"{escaped(c)}={escaped(values[c])}" for c in layout.columns)
+            month = values[layout.month] if layout.month else None
+            rows.append((FOLDER, None, text, write, batch, folder, layout.month_of, None if month is None else int(month), None))
+        return local_frame(self.spark, rows, FOLDERS)
 
     def _publish(self, n: int, rows: list[tuple], folders: DataFrame) -> None:
-        """Make versions visible. One file if it is small, several if not."""
+        """Make versions visible, unless there are any. One file if it is small, several if not."""
         entries = local_frame(self.spark, rows, LOG).unionByName(folders, allowMissingColumns=True)
-        mode = "overwrite" if self.take_over else "errorifexists"
-        self._require_free(n)
+        left_over = self.take_over and self._log().where(F.col("entry") == n).isEmpty()
         try:
-            entries.hint("rebalance").write.mode(mode).parquet(f"{self.root}/log/entry={n}")
+            entries.hint("rebalance").write.mode("overwrite" if left_over else "errorifexists").parquet(f"{self.root}/log/entry={n}")
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
@@ -595,19 +590,16 @@ class VersionedTable:
         return f"{self.root}/data/commit_id={write}"
 
     def _log(self) -> DataFrame:
-        found = self._read_if_there(f"{self.root}/log", f"{LOG}, entry bigint")
-        return local_frame(self.spark, [], f"{LOG}, entry bigint") if found is None else found
-
-    def _commits(self) -> DataFrame:
-        return self._log().where(F.col("kind") == COMMIT)
-
-    def _read_if_there(self, path: str, schema: str) -> DataFrame | None:
+        schema = f"{LOG}, entry bigint"
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).parquet(f"{self.root}/log")
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
+            return local_frame(self.spark, [], schema)
+
+    def _commits(self) -> DataFrame:
+        return self._log().where(F.col("kind") == COMMIT)
 
 
 FILE = ("file_path", "file_size_in_bytes", "record_count")
@@ -634,6 +626,23 @@ def _place(path: Column) -> list[Column]:
     return [id_.alias("__write"), batch.try_cast("int").alias("__batch"), folder.alias("__folder"), file.alias("__file")]
 
 
+def _decoded(path: Column | str) -> Column:
+    """A path of ``_metadata`` as the file system spells it. Only a path with signs is worth the work."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.when(path.contains("%"), F.url_decode(F.regexp_replace(path, r"\+", "%2B"))).otherwise(path)
+
+
+def _file_name(path: Column) -> Column:
+    return F.substring_index(_decoded(path), "/", -1)
+
+
+def _folder_key(path: Column) -> Column:
+    """``<id>/commit_batch=<n>/<folder>`` of a data file: one row has one, so it is found without patterns."""
+    inside = F.substring_index(path, "/data/commit_id=", -1)
+    folder = F.substring(inside, F.lit(1), F.length(inside) - F.length(F.substring_index(inside, "/", -1)) - 1)
+    return _decoded(folder)
+
+
 def _key(row: Row) -> tuple:
     return row["write"], row["batch"], row["folder"], None if row["files"] is None else tuple(sorted(row["files"]))
 
