@@ -182,8 +182,8 @@ def learn(docs: DataFrame, folds: int = 4, fold: int = 2) -> Model | None:
             out = {"langs": m.langs, "weights": m.weights.tobytes(), "offsets": m.offsets.tolist(), "temperature": m.temperature}
             yield pa.RecordBatch.from_pylist([out], schema=arrow)
 
-    # One task: the sample is bounded by FIT_ROWS.
-    found = stored(sample.coalesce(1).mapInArrow(fit_sample, "langs array<string>, weights binary, offsets array<double>, temperature double"), "language-model").first()
+    # One task for the sample, which FIT_ROWS bounds; behind an exchange, so that many tasks scan the table.
+    found = stored(sample.repartition(1).mapInArrow(fit_sample, "langs array<string>, weights binary, offsets array<double>, temperature double"), "language-model").first()
     if found is None:
         return None
     model = Model(found["langs"], idf)
