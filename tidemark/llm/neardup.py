@@ -14,14 +14,14 @@ joint weight) is at least 0.8, and a class is what links connect.
 2. **Bands.** Four coordinates make a key, 32 keys a document: a pair at 0.8 shares none with
    a probability of 5e-8. Copies (equal word sequences) are put together first and enter once.
 3. **Links.** Buckets are cut by size, since similar documents are of similar size. All
-   comparisons are exact, on the shingles themselves. In each bucket the member with the
-   most links is compared with the members of other classes, first in the first bands and
-   then in all, which brings together the copies of one text at one comparison a copy and
-   bucket. Then what shares a bucket with a large class is compared with the texts of the
+   comparisons are exact, on the shingles themselves. In the first bands the members of a
+   bucket are compared with the least of them. Then, in all bands, the largest class of a bucket
+   stands for its rows: what else lies there is compared with the member of that class there
+   that has the most links, which brings together the copies of one text. Then what shares a bucket with a large class is compared with the texts of the
    class, in blocks of texts, again with those that joined by that, for some rounds, and at
-   last what is left in a bucket without being of one class, in blocks as well. So every pair that shares a bucket was compared, or is too
-   unlike in size, or is in one class anyway; pairs within a group are never emitted, and
-   nothing is capped.
+   last what is left in a bucket without being of one class, in blocks as well. So every
+   pair that shares a bucket was compared, or is too unlike in size, or is in one class
+   anyway; pairs within a group are never emitted, and nothing is capped.
 
 Shingles are compared by 48 bits of their hashes. A bucket that holds a third of all rows is
 met by aggregates that combine before the shuffle and by joins that can be split.
@@ -50,7 +50,7 @@ SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 4
 FIRST_BANDS = 4
-#: Rounds over all bands in which the best linked member of a bucket is the pivot.
+#: Rounds over all bands in which what lies beside the largest class of a bucket meets its hub.
 HUB_ROUNDS = 2
 #: Classes of so many texts are compared in blocks of texts.
 LARGE_CLASS = 64
@@ -291,20 +291,23 @@ def _unsettled(members: DataFrame) -> DataFrame:
     return members.join(classes.where("x <> y").select("key"), "key", "left_semi")
 
 
-def _hubs(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    """``key, p``: of each bucket the member with the most links so far, the least row if equal.
+def _hubs(members: DataFrame) -> DataFrame:
+    """``key, top, p`` of the buckets with more than one class: the largest class, and its hub there.
 
-    It is as a rule the text that the others are copies of. The maximum is combined before
-    the shuffle, however large the bucket.
+    The hub is the member with the most links, as a rule the text that the others are copies of;
+    of equals the least. Classes are summed up before the shuffle, so a large group is one row a task
+    and bucket.
     """
-    rows = members.select("key", "row_id")
-    if links is None:
-        return rows.groupBy("key").agg(F.min("row_id").alias("p"))
+    hub = F.max(F.struct("degree", (-F.col("row_id")).alias("minus")))
+    classes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), hub.alias("hub"))
+    largest = F.max(F.struct("n", (-F.col("component")).alias("minus"), "hub"))
+    tops = classes.groupBy("key").agg(largest.alias("largest"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    return tops.select("key", (-F.col("largest.minus")).alias("top"), (-F.col("largest.hub.minus")).alias("p"))
+
+
+def _degrees(links: DataFrame) -> DataFrame:
     ends = links.select(F.col("a").alias("row_id")).union(links.select(F.col("b").alias("row_id")))
-    degrees = ends.groupBy("row_id").agg(F.count(F.lit(1)).alias("degree"))
-    rows = rows.join(degrees, "row_id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-    best = F.max(F.struct("degree", (-F.col("row_id")).alias("minus")))
-    return rows.groupBy("key").agg(best.alias("best")).select("key", (-F.col("best.minus")).alias("p"))
+    return ends.groupBy("row_id").agg(F.count(F.lit(1)).alias("degree"))
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -413,20 +416,26 @@ def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY,
             links = found if links is None else links.union(found)
             classes = stored(components(links), "classes")
 
-    members = start.where(F.col("band") < FIRST_BANDS)
-    for step in range(HUB_ROUNDS + 1):
-        members = stored(_unsettled(named(members)), "unsettled")
-        pivots = stored(_hubs(members, links), "pivots")
-        p_class = members.select("key", F.col("row_id").alias("p"), F.col("component").alias("p_class"))
-        met = members.join(pivots.join(p_class, ["key", "p"]), "key").where(F.col("component") != F.col("p_class"))
-        pairs = met.select(F.least("p", "row_id").alias("a"), F.greatest("p", "row_id").alias("b")).distinct()
+    def compare(pairs: DataFrame) -> None:
+        """Compares rows with their pivots ``p``, unless they were compared before."""
+        nonlocal compared
+        pairs = pairs.select(F.least("p", "row_id").alias("a"), F.greatest("p", "row_id").alias("b")).where("a <> b").distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         new = stored(similarities(pairs, sets, least), "compared")
         compared = new if compared is None else compared.union(new)
         connect(new.where("near").select("a", "b"))
-        # A pivot leaves its bucket; after the first bands, all take part.
-        members = members.join(pivots.withColumnRenamed("p", "row_id"), ["key", "row_id"], "left_anti") if step else start
+
+    first = start.where(F.col("band") < FIRST_BANDS).select("key", "row_id")
+    compare(first.join(first.groupBy("key").agg(F.min("row_id").alias("p")), "key"))
+    for _ in range(HUB_ROUNDS if classes is not None else 0):
+        linked = named(start).join(_degrees(links), "row_id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+        hubs = stored(_hubs(linked), "hubs")
+        met = linked.join(hubs, "key").where(F.col("component") != F.col("top"))
+        compare(met.select("row_id", "p"))
+        # A hub leaves its bucket, and so does all of a bucket that has none.
+        start = stored(start.join(hubs, "key").where(F.col("row_id") != F.col("p")).select("key", "row_id"), "unsettled")
+    members = start
     members = _unsettled(named(members))
     met = None
     for _ in range(CLASS_ROUNDS if classes is not None else 0):

@@ -2,28 +2,57 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.session import work_folder
+from tidemark.session import local_frame, work_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables stored since each open ``passing_tables`` began.
+_passing: list[list[tuple[str, T.StructType]]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: read again after a loss, never made again."""
     path = work_folder(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    if _passing:
+        _passing[-1].append((path, df.schema))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored in the block are emptied at its end, those made by the given function excepted.
+
+    A frame that still reads one of them fails afterwards. With an error the tables stay.
+    """
+    _passing.append([])
+    try:
+
+        def kept(df: DataFrame, name: str) -> DataFrame:
+            table = stored(df, name)
+            _passing[-1].pop()
+            return table
+
+        yield kept
+        for path, schema in _passing[-1]:
+            local_frame(spark, [], schema).write.mode("overwrite").parquet(path)
+    finally:
+        _passing.pop()
+
+
 def with_rows(docs: DataFrame, name: str) -> DataFrame:
     """Stored rows ``row_id, text, row``: a number for each, and the row itself as one struct.
 
