@@ -2,7 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and all but the last give back the columns of
 documents. Stages work on rows, whatever their ids: rows with a null or repeated doc_id stay
-rows of their own, and columns of any name pass through. A null text is kept as it is.
+rows of their own, and columns of any name pass through. A null text is kept as it is. What a
+stage stores on its way is emptied before it returns; its decisions and its rows stay.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from tidemark.llm.contamination import contaminated
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.substrings import dedup_substrings
-from tidemark.llm.tables import stored, table, with_rows
+from tidemark.llm.tables import passing_tables, stored, table, with_rows
 from tidemark.llm.toxicity import learn
 
 
@@ -28,18 +29,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the least doc_id stays (operator 5)."""
     rows = with_rows(docs, "near-rows")
-    classes = near_duplicates(rows.select(F.col("row_id").alias("doc_id"), "text"))
-    members = classes.select(F.col("doc_id").alias("row_id"), "class_row").join(rows.select("row_id", "row.doc_id"), "row_id")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
-    first = members.groupBy("class_row").agg(F.min(order).alias("first")).select("first.row_id")
+    with passing_tables(spark) as kept:
+        classes = near_duplicates(rows.select(F.col("row_id").alias("doc_id"), "text"))
+        members = classes.select(F.col("doc_id").alias("row_id"), "class_row").join(rows.select("row_id", "row.doc_id"), "row_id")
+        order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
+        first = kept(members.groupBy("class_row").agg(F.min(order).alias("first")).select("first.row_id"), "near-firsts")
     return rows.join(first, "row_id", "left_semi").select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated word sequences leave the texts that hold them (operator 7); other texts stay as they are."""
     rows = with_rows(docs, "substring-rows")
-    found = dedup_substrings(rows.select(F.col("row_id").alias("doc_id"), "text"))
-    changed = found.where("n_removed > 0").select(F.col("doc_id").alias("row_id"), F.col("kept"))
+    with passing_tables(spark) as kept:
+        found = dedup_substrings(rows.select(F.col("row_id").alias("doc_id"), "text"))
+        changed = kept(found.where("n_removed > 0").select(F.col("doc_id").alias("row_id"), F.col("kept")), "changed-texts")
     joined = rows.join(changed, "row_id", "left")
 
     def value(name: str):
@@ -56,8 +59,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go (operator 1)."""
     rows = with_rows(docs, "clean-rows")
-    found = contaminated(rows.select(F.col("row_id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    held = found.select(F.col("doc_id").alias("row_id")).distinct()
+    with passing_tables(spark) as kept:
+        found = contaminated(rows.select(F.col("row_id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+        held = kept(found.select(F.col("doc_id").alias("row_id")).distinct(), "contaminated-rows")
     return rows.join(held, "row_id", "left_anti").select("row.*")
 
 
