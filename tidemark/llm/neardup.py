@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.llm.blocks import Block, mixed, read_blocks, rolling_hashes, small_batches, word_blocks, word_hashes
+from tidemark.llm.blocks import Block, mixed, read_blocks, release_memory, rolling_hashes, small_batches, word_blocks, word_hashes
 from tidemark.llm.components import components
 from tidemark.llm.tables import stored
 
@@ -214,6 +214,8 @@ def shingle_sets(blocks: DataFrame, wanted: DataFrame, k: int = SHINGLE) -> Data
                         nth = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
                         items = mixed(np.repeat(shingles.hashes[a:b], weights) + nth.astype(np.uint64) * STEP)
                         yield {"row_id": row_id, "items": pack48(np.sort(items >> np.uint64(16)))}
+                    del row, block, shingles
+                    release_memory()
 
         return small_batches(each(), arrow, 512)
 
