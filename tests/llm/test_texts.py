@@ -220,3 +220,17 @@ def test_language_model_learns_from_three_words_back(spark):
     scored = maxent.score_corpus(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1))
     sums = scored.where("held_out").selectExpr("sum(n_tokens) n", "sum(base_score) base", "sum(score) score").first()
     assert sums["score"] / sums["n"] > sums["base"] / sums["n"] + 0.3
+
+
+def test_language_model_does_not_depend_on_partitions(spark):
+    rng = random.Random(5)
+    texts = [(i % 380, " ".join(f"w{rng.randrange(20)}" for _ in range(rng.randrange(60)))) for i in range(400)]
+    docs = spark.createDataFrame([*texts, (None, None), (None, "w1 w2")], "doc_id long, text string")
+    scores = []
+    for n in (1, 4, 16):
+        rows = maxent.score_corpus(docs.repartition(n)).collect()
+        scores.append(sorted((r["doc_id"] is None, r["doc_id"], r["n_tokens"], r["base_score"], r["score"]) for r in rows if r["doc_id"] is not None))
+    assert len(scores[0]) == 400
+    for other in scores[1:]:
+        assert [r[:3] for r in other] == [r[:3] for r in scores[0]]
+        assert [r[3:] for r in other] == [pytest.approx(r[3:], rel=1e-6) for r in scores[0]]

@@ -23,10 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _passing: list[list[tuple[str, T.StructType]]] = []
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: read again after a loss, never made again."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: read again after a loss, never made again.
+
+    ``by`` is a column with a folder for each value.
+    """
     path = work_folder(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     if _passing:
         _passing[-1].append((path, df.schema))
     return df.sparkSession.read.schema(df.schema).parquet(path)
