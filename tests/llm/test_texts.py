@@ -132,6 +132,69 @@ def test_tiles_cover_reordered_passages():
     assert contamination.tiles(item, [1, 2, 3, 4, 5] * 2) == [(0, 0, 5)]
 
 
+def naive_tiles(item, text, least=5):
+    item_free, text_free, found = [True] * len(item), [w != 0 for w in text], []
+    while True:
+        runs = []
+        for i in range(len(item)):
+            for j in range(len(text)):
+                n = 0
+                while i + n < len(item) and j + n < len(text) and item_free[i + n] and text_free[j + n] and item[i + n] == text[j + n]:
+                    n += 1
+                runs.append((-n, i, j))
+        n, i, j = min(runs, default=(0, 0, 0))
+        if -n < least:
+            return found
+        item_free[i : i - n] = text_free[j : j - n] = [False] * -n
+        found.append((i, j, -n))
+
+
+def test_tiles_against_naive_tiling(monkeypatch):
+    rng = random.Random(6)
+    for case in range(150):
+        monkeypatch.setattr(contamination, "PAIRS", rng.choice((3, 1 << 18)))
+        item = [rng.randrange(1, rng.choice((3, 5))) for _ in range(rng.randrange(25))]
+        text = [rng.randrange(1, 4) if rng.random() < 0.97 else 0 for _ in range(rng.randrange(40))]
+        assert contamination.tiles(item, text) == naive_tiles(item, text)
+    assert contamination.tiles([7] * 59, [7] * 20_000) == [(0, 0, 59)]
+
+
+def test_contamination_against_all_pairs(spark):
+    rng = random.Random(7)
+    items = [[f"w{rng.randrange(400)}" for _ in range(rng.randrange(3, 30))] for _ in range(50)]
+    items[:20] = [["which", "of", "these", "is", "the", "right", *x] for x in items[:20]]
+    texts = []
+    for i in range(200):
+        text, item = [f"w{rng.randrange(400)}" for _ in range(20)], items[i % 50]
+        cut = rng.randrange(len(item))
+        parts = [item[cut:], item[: rng.randrange(cut, len(item) + 1)]]
+        texts.append(text[:10] + parts[i % 2] + text[10:] + parts[1 - i % 2])
+    number = {w: n for n, w in enumerate(sorted({w for t in items + texts for w in t}), 1)}
+    expected = set()
+    for j, item in enumerate(items):
+        for i, text in enumerate(texts):
+            runs = {tuple(item[a : a + 5]) for a in range(len(item) - 4)} & {tuple(text[a : a + 5]) for a in range(len(text) - 4)}
+            found = naive_tiles([number[w] for w in item], [number[w] for w in text]) if runs else []
+            if found and sum(n for *_, n in found) >= 0.6 * len(item):
+                expected.add((i, j, sum(n for *_, n in found), len(found)))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")
+    found = contamination.contaminated(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"], r["covered"], r["n_tiles"]) for r in found} == expected
+    assert len(found) == len(expected) > 50
+
+
+def test_a_phrase_of_all_items_makes_no_pairs(spark):
+    phrase = "which of the following is right "
+    rest = lambda k, n: " ".join(f"{k}{n}x{i}" for i in range(20))
+    docs = spark.createDataFrame([(i, phrase + rest("d", i)) for i in range(60)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, phrase + rest("b", i)) for i in range(20)], "item_id long, text string")
+    items = contamination.item_table(contamination.word_blocks(benchmark, id_column="item_id")).cache()
+    parts = contamination.document_parts(contamination.word_blocks(docs), contamination.seed_bitmap(items))
+    assert parts.count() == 60
+    assert contamination.candidates(parts, items).count() == 0
+
+
 def test_contamination(spark, docs, none):
     item = " ".join(f"word{i}" for i in range(24))
     halves = item.split()
