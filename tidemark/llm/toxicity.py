@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.llm.blocks import small_batches
+from tidemark.llm.blocks import release_memory, small_batches
 from tidemark.llm.tables import stored
 
 LEXICON = 3000
@@ -185,12 +185,13 @@ def _features(df: DataFrame, lexicon: Lexicon, fold: bool) -> DataFrame:
     def measure(batches):
         for batch in batches:
             total, n = [], []
-            for text in batch.column("text").to_pylist():
-                text = folded(text) if fold else text
+            for value in batch.column("text"):  # one text at a time
+                text = folded(value.as_py()) if fold else value.as_py()
                 total.append(float(math.fsum(m[2] for m in lexicon.matches(text))))
                 n.append(len(text.split()))
             columns = [batch.column(c) for c in others] + [pa.array(total, pa.float64()), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            release_memory()
 
     return df.mapInArrow(measure, schema)
 
