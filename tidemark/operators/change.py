@@ -92,8 +92,9 @@ def raw_diff(
 
     With ``nulls="empty"`` a column that is not text passes as equal where either side is NULL. So
     rows meet once for each pattern of NULLs that the other side has under their key, on
-    the columns that neither pattern leaves out; where nothing is NULL that is once. Both
-    tables are read once, and no step needs all rows of a key in one task.
+    the columns that neither pattern leaves out. A key with one pattern and no NULL text needs
+    no such meeting: its rows are exchanged twice, those of other keys four times. Both tables
+    are read once, and no step needs all rows of a key in one task.
     """
     if nulls not in ("safe", "empty"):
         raise ValueError("raw_diff compares with nulls='safe' or nulls='empty'")
@@ -125,20 +126,53 @@ def raw_diff(
     both = side(old, False).unionByName(side(new, True))
     counted = [F.sum("__old").alias("__old"), F.sum("__new").alias("__new")]
     rows = both.groupBy(*[c for c in both.columns if c not in ("__old", "__new")]).agg(*counted)
-    # The patterns of NULLs under each key, one for most. Grouped by a struct, so that the join gets
-    # an exchange of its own to split; it matches NULLs, which keeps both its sides the same scan.
-    patterns = rows.groupBy(F.struct(key).alias("__k"), F.col("__nulls").alias("__theirs")).agg(
-        F.sum("__old").alias("__olds"), F.sum("__new").alias("__news")
+    # What a key holds. Grouped by a struct, so that the join gets an exchange of its own to split;
+    # it matches NULLs, which keeps both its sides the same scan.
+    keys = rows.groupBy(F.struct(key).alias("__k")).agg(
+        F.sum("__old").alias("__olds"),
+        F.sum("__new").alias("__news"),
+        F.min("__nulls").alias("__low"),
+        F.collect_set(F.when(F.col("__nulls") != "", F.col("__nulls"))).alias("__marked"),
+        F.max("__texts").alias("__worded"),
     )
-    patterns = patterns.select(F.col(f"__k.{key}").alias("__key"), "__theirs", "__olds", "__news")
-    met = rows.join(patterns, F.col(key).eqNullSafe(F.col("__key")))
-    old_there, new_there, some_key = F.col("__old") > 0, F.col("__new") > 0, F.col(key).isNotNull()
-
-    # A row takes part as a new and as an old one. A NULL key faces nobody.
-    as_new = F.when(new_there, F.array(F.lit(True)))
-    as_old = F.when(old_there, F.array(F.lit(False)))
-    no_part = F.array().cast("array<boolean>")
-    met = met.withColumn("__as_new", F.explode(F.concat(F.coalesce(as_new, no_part), F.coalesce(as_old, no_part))))
+    keys = keys.select(F.col(f"__k.{key}").alias("__key"), "__olds", "__news", "__low", "__marked", "__worded")
+    columns = [key, *[c for c in new.columns if c != key]]
+
+    # Old rows of a key without new ones, or of the NULL key, which faces nobody. The last condition
+    # always holds: it asks for all of the sums, so that they are exchanged once.
+    alone = F.col("__key").isNull() | (F.col("__news") == 0)
+    summed = F.col("__low").isNotNull() & F.col("__worded").isNotNull() & (F.size("__marked") >= 0)
+    gone = keys.where((F.col("__olds") > 0) & alone & summed).select(
+        F.lit(DELETE).alias(CHANGE_TYPE),
+        F.col("__key").alias(key),
+        *[F.lit(None).cast(types[c]).alias(c) for c in columns if c != key],
+        F.col("__olds").alias(COPIES),
+    )
+
+    # Every row finds its key; as an outer join it takes no filter, so that what follows shares it.
+    met = rows.join(keys, F.col(key).eqNullSafe(F.col("__key")), "left").where(F.coalesce("__news", F.lit(1)) > 0)
+    facing = F.when(F.col(key).isNotNull(), F.col("__olds")).otherwise(0)
+    one = F.when(F.col("__low") == "", F.size("__marked") == 0).otherwise(F.size("__marked") == 1)
+    plain = one & (F.col("__worded") == "") & F.lit(not others)
+
+    def found(frame: DataFrame, value, new_rows: Column, faced: Column, equal: Column) -> DataFrame:
+        copies = F.when(faced > 0, new_rows * (faced - equal)).otherwise(new_rows)
+        return frame.select(
+            F.when(faced > 0, UPDATE).otherwise(INSERT).alias(CHANGE_TYPE),
+            *[F.col(key) if c == key else value(c).alias(c) for c in columns],
+            copies.alias(COPIES),
+        ).where(F.col(COPIES) > 0)
+
+    # Under one pattern of NULLs a new row equals the old rows that were grouped with it.
+    simple = met.where(F.coalesce(plain & (F.col("__nulls") == F.col("__low")) & (F.col("__texts") == ""), F.lit(True)))
+    simple = found(simple, lambda c: F.col(f"__{c}" if c in compare else c).cast(types[c]), F.col("__new"), facing, F.col("__old"))
+
+    # Other rows take part as new and as old ones, against each pattern under their key.
+    marked = F.when(F.col("__low") == "", F.concat(F.array(F.lit("")), F.col("__marked"))).otherwise(F.col("__marked"))
+    mixed = met.where(~F.coalesce(plain, F.lit(False))).withColumn("__faced", facing)
+    mixed = mixed.withColumn("__theirs", F.explode(marked))
+    as_new, as_old = F.when(F.col("__new") > 0, F.lit(True)), F.when(F.col("__old") > 0, F.lit(False))
+    mixed = mixed.withColumn("__as_new", F.explode(F.array_compact(F.array(as_new, as_old))))
     mine, theirs = F.col("__nulls"), F.col("__theirs")
     old_nulls, new_nulls = F.when(F.col("__as_new"), theirs).otherwise(mine), F.when(F.col("__as_new"), mine).otherwise(theirs)
     left_out = F.concat(mine, theirs)
@@ -147,35 +181,23 @@ def raw_diff(
         for c in compare
     ]
     group = Window.partitionBy(F.struct(key, old_nulls.alias("old_nulls"), new_nulls.alias("new_nulls"), *seen))
-    told = met.withColumn("__equal", F.sum(F.when(~F.col("__as_new"), F.col("__old")).otherwise(0)).over(group))
-
-    # One row for each new row, over the patterns it met, and one for all old rows of a key.
-    is_new = F.col("__as_new")
+    told = mixed.withColumn("__equal", F.sum(F.when(~F.col("__as_new"), F.col("__old")).otherwise(0)).over(group))
 
+    # One row for each new row, over the patterns it met.
     def shown(c: str) -> Column:
         value = F.col(c) if c in others else F.col(f"__{c}")
         if c in texts:
             value = F.when(~F.col("__texts").contains(f",{texts.index(c)},"), value)
-        return F.when(is_new, value).cast(types[c]).alias(c)
-
-    row = F.struct("__as_new", key, *[shown(c) for c in new.columns if c != key])
-    once = mine == theirs
-    summed = told.groupBy(row.alias("__row")).agg(
-        # Rows of either side under the key, and those equal to the new row.
-        F.sum(F.when(some_key, F.when(is_new, F.col("__olds")).otherwise(F.col("__news"))).otherwise(0)).alias("__faced"),
-        F.sum("__equal").alias("__equal"),
-        F.sum(F.when(once, F.when(is_new, F.col("__new")).otherwise(F.col("__old")))).alias("__own"),
-    )
-    faced = F.col("__faced") > 0
-    kind = F.when(~F.col("__row.__as_new"), DELETE).when(faced, UPDATE).otherwise(INSERT)
-    copies = (
-        F.when(~F.col("__row.__as_new"), F.when(~faced, F.col("__own")).otherwise(0))
-        .when(faced, F.col("__own") * (F.col("__faced") - F.col("__equal")))
-        .otherwise(F.col("__own"))
+        return value.cast(types[c]).alias(c)
+
+    row = F.struct(key, *[shown(c) for c in columns if c != key])
+    own = F.sum(F.when(mine == theirs, F.col("__new")))
+    over = told.where("__as_new").groupBy(row.alias("__row")).agg(
+        F.max("__faced").alias("__faced"), F.sum("__equal").alias("__equal"), own.alias("__own")
     )
-    columns = [key, *[c for c in new.columns if c != key]]
-    found = summed.select(kind.alias(CHANGE_TYPE), *[F.col(f"__row.{c}").alias(c) for c in columns], copies.alias(COPIES))
-    return found.where(F.col(COPIES) > 0)
+    over = over.select(*[F.col(f"__row.{c}").alias(c) for c in columns], "__faced", "__equal", "__own")
+    over = found(over, F.col, F.col("__own"), F.col("__faced"), F.col("__equal"))
+    return simple.unionByName(over).unionByName(gone)
 
 
 def change_summary(changes: DataFrame, name: str = "count") -> DataFrame:
