@@ -21,7 +21,8 @@ from tidemark.llm.toxicity import learn
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer finds toxic go (operator 4)."""
-    scorer = learn(docs, table(spark, sf_dir, "labels"))
+    with passing_tables(spark):
+        scorer = learn(docs, table(spark, sf_dir, "labels"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     return scorer.scored(rows, "row").where("score < 0.5").select("row.*")
 

@@ -1,7 +1,16 @@
 """The stages keep the columns of documents and take effect."""
 
+import tempfile
+import time
+from pathlib import Path
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.conftest import SCHEMA
+from tidemark.llm.tables import SHUFFLES_GO, stored, with_rows
+from tidemark.session import shared_root
 
 
 def test_stages(spark, docs, none, tmp_path):
@@ -26,3 +35,34 @@ def test_stages(spark, docs, none, tmp_path):
     assert sizes["substring_dedup"][0] == sizes["substring_dedup"][1]
     assert sizes["decontamination"][1] == sizes["decontamination"][0] - 1
     assert corpus_pipeline.run(spark, folder).columns[:2] == ["doc_id", "piece"]
+
+
+def test_rows_are_stored_with_one_copy_of_the_text(docs):
+    rows = with_rows(docs, "test-rows")
+    assert rows.columns == ["row_id", "text", "row"]
+    folder = rows.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert pq.read_schema(next(Path(folder).glob("*.parquet"))).names == ["row_id", "row"]
+    assert rows.where("not text <=> row.text").count() == 0 and rows.count() == docs.count()
+
+
+def test_shuffle_files_go_with_the_query_that_stores(spark):
+    def held():
+        return {f for f in Path(spark.conf.get("spark.local.dir", tempfile.gettempdir())).glob("blockmgr-*/*/shuffle_*.data")}
+
+    before = held()
+    found = stored(spark.range(20_000).repartition(3).groupBy((F.col("id") % 5000).alias("k")).count(), "test-shuffle")
+    end = time.monotonic() + 20
+    while left := [f for f in held() - before if f.exists()]:
+        assert time.monotonic() < end, left
+        time.sleep(0.2)
+    assert found.count() == 5000
+    assert spark.conf.get(SHUFFLES_GO) == "false"
+
+
+def test_toxicity_leaves_no_training_texts(spark, docs, tmp_path):
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    root = Path(shared_root(spark).removeprefix("file://")) / "tidemark"
+    before = set(root.glob("llm-toxicity-training-*"))
+    assert corpus_pipeline.toxicity(spark, docs, str(tmp_path)).count() > 0
+    new = set(root.glob("llm-toxicity-training-*")) - before
+    assert len(new) == 1 and spark.read.parquet(str(new.pop())).count() == 0

@@ -160,7 +160,8 @@ def repeated_windows(blocks: DataFrame, k: int = WINDOW) -> DataFrame:
         return group.select(["block_id", "part"]).append_column(arrow.field("payload"), pa.array(bits_back, pa.binary()))
 
     cells = blocks.mapInArrow(send_cells, message)
-    seen = cells.groupBy("part").applyInArrow(add_cells, message)
+    # Stored, a bit a cell, so that the cells themselves go before windows are sent.
+    seen = stored(cells.groupBy("part").applyInArrow(add_cells, message), "seen-cells")
 
     groups = 1 << max(0, int(total // EXACT_GROUP).bit_length())
     shift = np.uint64(64 - (groups.bit_length() - 1)) if groups > 1 else None
