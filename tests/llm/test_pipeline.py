@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import SCHEMA
+from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.tables import SHUFFLES_GO, stored, with_rows
 from tidemark.session import shared_root
 
@@ -66,3 +67,21 @@ def test_toxicity_leaves_no_training_texts(spark, docs, tmp_path):
     assert corpus_pipeline.toxicity(spark, docs, str(tmp_path)).count() > 0
     new = set(root.glob("llm-toxicity-training-*")) - before
     assert len(new) == 1 and spark.read.parquet(str(new.pop())).count() == 0
+
+
+def test_rounds_of_near_duplicates_have_tasks_by_what_they_move(spark, docs, conf):
+    conf(spark__sql__shuffle__partitions="60", spark__sql__adaptive__coalescePartitions__enabled="false")
+    sc = spark.sparkContext
+    asked = docs.union(docs.selectExpr("doc_id + 1000", "concat(text, ' x')", "lang", "source", "n_chars", "total", "row_id", "block_id"))
+    group = f"near-{time.monotonic()}"
+    sc.setJobGroup(group, "near duplicates")
+    try:
+        assert near_duplicates(asked).count() == asked.count()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    wide = [s for s in stages if (info := tracker.getStageInfo(s)) and info.numTasks == 60 and info.numCompletedTasks == 60]
+    # Buckets, copies and the result are dealt in sixty; before, the rounds were too.
+    assert len(wide) < 30
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "60"

@@ -43,7 +43,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.llm.blocks import Block, mixed, read_blocks, release_memory, rolling_hashes, small_batches, word_blocks, word_hashes
 from tidemark.llm.components import components
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import SHUFFLES_GO, setting, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -60,6 +60,8 @@ CLASS_ROUNDS = 4
 ROW_TEXTS = 128
 ROW_BYTES = 4 << 20
 ITEM_SLICE = 8192
+#: Bucket members, and bytes of their shingles, for which the rounds have one task more.
+TASK_MEMBERS, TASK_BYTES = 50_000, 32 << 20
 
 WORD_SEED = 41
 BASE = 0xA0761D6478BD642F
@@ -401,8 +403,30 @@ def _within_buckets(members: DataFrame, sets: DataFrame, least: float) -> DataFr
 
 def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
     """``row_id, component`` of the documents linked to another, of ``row_id, block_id, size, keys``."""
+    spark = blocks.sparkSession
     start = stored(bucket_members(firsts, least), "members")
     sets = stored(shingle_sets(blocks, start.select("block_id", "row_id").distinct(), k), "shingles")
+    tasks = _round_tasks(start, firsts)
+    with setting(spark, "spark.sql.shuffle.partitions", str(tasks)), setting(spark, SHUFFLES_GO, "true"):
+        classes = _linked(start, sets, least)
+    if classes is None:
+        return firsts.select("row_id", F.col("row_id").alias("component")).limit(0)
+    return classes.withColumnRenamed("node", "row_id")
+
+
+def _round_tasks(members: DataFrame, firsts: DataFrame) -> int:
+    """How many tasks the exchanges of the rounds have: by what they move, up to the session's number.
+
+    There are hundreds of exchanges, so that on few members the tasks would cost more than the work.
+    """
+    spark = members.sparkSession
+    n, size = members.count(), firsts.agg(F.avg("size")).first()[0] or 0
+    wanted = max(spark.sparkContext.defaultParallelism, -(-n // TASK_MEMBERS), int(n * size * 6) // TASK_BYTES)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
+def _linked(start: DataFrame, sets: DataFrame, least: float) -> DataFrame | None:
+    """``node, component`` of the linked members; none without links."""
     links = classes = compared = None
 
     def named(rows: DataFrame) -> DataFrame:
@@ -456,9 +480,7 @@ def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY,
         met = rows if met is None else met.union(rows)
         members = _unsettled(named(members.join(rows, "row_id", "left_anti")))
     connect(stored(_within_buckets(members, sets, least), "bucket-links"))
-    if classes is None:
-        return firsts.select("row_id", F.col("row_id").alias("component")).limit(0)
-    return classes.withColumnRenamed("node", "row_id")
+    return classes
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
