@@ -47,6 +47,8 @@ def test_rows_are_stored_with_one_copy_of_the_text(docs):
 
 
 def test_shuffle_files_go_with_the_query_that_stores(spark):
+    """Looks at the local folder of this session; another one in the same folder would be seen too."""
+
     def held():
         return {f for f in Path(spark.conf.get("spark.local.dir", tempfile.gettempdir())).glob("blockmgr-*/*/shuffle_*.data")}
 
