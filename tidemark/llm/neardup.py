@@ -417,7 +417,7 @@ def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY,
 def _round_tasks(members: DataFrame, firsts: DataFrame) -> int:
     """How many tasks the exchanges of the rounds have: by what they move, up to the session's number.
 
-    There are hundreds of exchanges, so that on few members the tasks would cost more than the work.
+    There are many exchanges, so that on few members the tasks would cost more than the work.
     """
     spark = members.sparkSession
     n, size = members.count(), firsts.agg(F.avg("size")).first()[0] or 0
