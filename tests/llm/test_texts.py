@@ -8,7 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import contamination, language, maxent, neardup, quality, substrings, toxicity
+from tidemark.llm import components, contamination, language, maxent, neardup, quality, substrings, toxicity
+from tidemark.llm.tables import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -297,3 +298,18 @@ def test_language_model_does_not_depend_on_partitions(spark):
     for other in scores[1:]:
         assert [r[:3] for r in other] == [r[:3] for r in scores[0]]
         assert [r[3:] for r in other] == [pytest.approx(r[3:], rel=1e-6) for r in scores[0]]
+
+
+@pytest.mark.parametrize("chunk", [1 << 22, 40])
+def test_few_links_in_many_partitions_are_connected_by_one_task(spark, conf, monkeypatch, chunk):
+    conf(spark__sql__shuffle__partitions="12", spark__sql__adaptive__coalescePartitions__enabled="false")
+    links = [(i, i + 7) for i in range(200)] + [(900 + i, 899) for i in range(30)] + [(5000, 5000)]
+    random.Random(3).shuffle(links)
+    made = []
+    monkeypatch.setattr(components, "stored", lambda df, name: made.append(name) or stored(df, name))
+    monkeypatch.setattr(components, "CHUNK", chunk)
+    found = components.components(spark.createDataFrame(links, "a long, b long").repartition(12)).collect()
+    expected = {(i, i % 7) for i in range(7, 207)} | {(900 + i, 899) for i in range(30)}
+    assert {tuple(r) for r in found} - {(i, i) for i in [*range(7), 899]} == expected
+    # Chunks of all tasks, then one; of more links than a chunk, steps follow.
+    assert len(made) == 2 if chunk > 40 else len(made) > 3

@@ -58,8 +58,7 @@ def _shortened(links: DataFrame) -> DataFrame:
         if held:
             yield from stars()
 
-    # Few links come together in one task, many are spread.
-    return links.hint("rebalance").mapInArrow(shorten, "a long, b long, part long")
+    return links.mapInArrow(shorten, "a long, b long, part long")
 
 
 def _step(links: DataFrame, towards_smaller: bool) -> DataFrame:
@@ -80,14 +79,21 @@ def _step(links: DataFrame, towards_smaller: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of the links ``a, b``; a component is its least node.
 
-    Tasks connect what they hold first. Then steps towards larger and smaller neighbours alternate
-    until every link points at the least node of its component, some two to five rounds.
+    Tasks connect what they hold first. What is left of a chunk's links or fewer, one task connects,
+    whatever the number of partitions they lay in. Of more, steps towards larger and smaller neighbours
+    alternate until every link points at the least node of its component, some two to five rounds.
     Each round is written to the shared folder. A node with very many neighbours is a join
     key that adaptive execution can split.
     """
     short = stored(_shortened(links.select("a", "b").where("a <> b")), "links")
-    parts = short.agg(F.min("part"), F.max("part")).first()
+    parts = short.agg(F.min("part"), F.max("part"), F.count(F.lit(1))).first()
     now = short.select("a", "b")
+    if parts[0] != parts[1]:
+        # Few links come together in one task, many are spread.
+        gathered = now.coalesce(1) if parts[2] <= CHUNK else now.hint("rebalance")
+        short = stored(_shortened(gathered), "links")
+        parts = short.agg(F.min("part"), F.max("part")).first()
+        now = short.select("a", "b")
     if parts[0] == parts[1]:
         # One chunk, or none: each link points at the least node of its component.
         return now.withColumnsRenamed({"a": "node", "b": "component"})

@@ -440,7 +440,9 @@ def _linked(start: DataFrame, sets: DataFrame, least: float) -> DataFrame | None
         nonlocal links, classes
         if not found.isEmpty():
             links = found if links is None else links.union(found)
-            classes = stored(components(links), "classes")
+            # What earlier links connect, their classes do.
+            known = found if classes is None else found.union(classes.select("component", "node"))
+            classes = stored(components(known), "classes")
 
     def compare(pairs: DataFrame) -> None:
         """Compares rows with their pivots ``p``, unless they were compared before."""
