@@ -23,8 +23,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer finds toxic go (operator 4)."""
     with passing_tables(spark):
         scorer = learn(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    return scorer.scored(rows, "row").where("score < 0.5").select("row.*")
+    # The text goes to the scorer and back once, beside the row.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), "text")
+    kept = scorer.scored(rows, "row", keep_text=True).where("score < 0.5")
+    return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

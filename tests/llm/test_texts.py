@@ -3,12 +3,14 @@
 import collections
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
 from tidemark.llm import components, contamination, language, maxent, neardup, quality, substrings, toxicity
+from tidemark.llm.blocks import pack_ints, pack_words
 from tidemark.llm.tables import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -313,3 +315,52 @@ def test_few_links_in_many_partitions_are_connected_by_one_task(spark, conf, mon
     assert {tuple(r) for r in found} - {(i, i) for i in [*range(7), 899]} == expected
     # Chunks of all tasks, then one; of more links than a chunk, steps follow.
     assert len(made) == 2 if chunk > 40 else len(made) > 3
+
+
+def test_windows_of_one_block_are_held_at_a_time(spark):
+    import pyarrow as pa
+
+    class Blocks:
+        """Takes the function that sends cells; no job runs."""
+
+        def agg(self, *_):
+            return self
+
+        def first(self):
+            return {"n": 1 << 20}
+
+        def mapInArrow(self, send, _):
+            self.send = send
+            raise StopIteration
+
+    blocks = Blocks()
+    with pytest.raises(StopIteration):
+        substrings.repeated_windows(blocks)
+    n, rng = 200_000, np.random.default_rng(7)
+    made = []
+    for i in range(3):
+        codes, vocab = rng.integers(0, 500, n), pa.array([f"w{j}" for j in range(500)])
+        row = {"block_id": i, "first_row": i, "doc_ids": [i], "lengths": pack_ints(np.array([n])), "codes": pack_ints(codes), "vocab": pack_words(vocab)}
+        made.append(pa.RecordBatch.from_pylist([row]))
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in blocks.send(iter(made))) == 3 * 2
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Arrays of a number a word.
+    assert most / (8 * n) < 18
+
+
+def test_toxicity_sends_the_text_once(spark, docs, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    sent = []
+    scored = toxicity.Scorer.scored
+    monkeypatch.setattr(toxicity.Scorer, "scored", lambda self, rows, *c, **how: sent.append(rows) or scored(self, rows, *c, **how))
+    named = docs.withColumn("n", docs.doc_id + 1).withColumn("score", docs.lang)
+    found = corpus_pipeline.toxicity(spark, named, str(tmp_path))
+    assert found.dtypes == named.dtypes
+    assert 0 < found.count() and found.exceptAll(named).count() == 0
+    assert "text" not in sent[0].schema["row"].dataType.names

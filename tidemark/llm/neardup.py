@@ -192,6 +192,7 @@ def signatures(blocks: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: in
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[words].ravel())),
             ]
             out = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            del block, shingles, found, keys, h1, h2, columns
             for i in range(0, n, 4096):
                 yield out.slice(i, 4096)
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.blocks import Block, mixed, read_blocks, rolling_hashes, small_batches, word_blocks, word_hashes
+from tidemark.llm.blocks import Block, mixed, read_blocks, release_memory, rolling_hashes, small_batches, word_blocks, word_hashes
 from tidemark.llm.tables import stored
 
 WINDOW = 35
@@ -56,15 +56,16 @@ class Windows:
     """The distinct windows of a block, in the order of their first hash."""
 
     def __init__(self, block: Block, k: int):
-        self.block = block
         self.places = block.window_starts(k)
-        hashes = []
-        for seed, base in zip(SEEDS, BASES):
-            words = word_hashes(block.vocab, seed)[block.codes] if len(block.vocab) else np.zeros(0, np.uint64)
-            hashes.append(rolling_hashes(words, self.places, k, base))
-        first, second = hashes
+
+        def hashes(i: int) -> np.ndarray:
+            words = word_hashes(block.vocab, SEEDS[i])[block.codes] if len(block.vocab) else np.zeros(0, np.uint64)
+            return rolling_hashes(words, self.places, k, BASES[i])
+
+        first = hashes(0)
         order = np.argsort(first, kind="stable")
-        first, second = first[order], second[order]
+        first = first[order]
+        second = hashes(1)[order]
         new = np.ones(len(order), bool)
         new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
         #: The distinct window at each place of ``places``.
@@ -73,6 +74,8 @@ class Windows:
         self.first, self.second = first[new], second[new]
         counts = np.bincount(self.which, minlength=len(self.first)) if len(order) else np.zeros(0, np.int64)
         self.repeated_here = counts > 1
+        del first, second, order, new, counts
+        release_memory()
 
     def cells(self, row: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """The cells of the distinct windows in a row of the sketch, and their order."""
@@ -150,6 +153,8 @@ def repeated_windows(blocks: DataFrame, k: int = WINDOW) -> DataFrame:
                     low = cells & np.uint64((1 << SHARD_BITS) - 1)
                     for part, a, b in _by_part((cells >> np.uint64(SHARD_BITS)).astype(np.int64)):
                         yield {"block_id": block.block_id, "part": row * shards + part, "payload": _pack_steps(low[a:b])}
+                    del cells, low
+                del block, w
 
         return small_batches(rows(), arrow, 256)
 
@@ -186,6 +191,8 @@ def repeated_windows(blocks: DataFrame, k: int = WINDOW) -> DataFrame:
                             "places": _pack_steps(chosen[a:b]),
                             "here": np.packbits(here[a:b]).tobytes(),
                         }
+                    del row, w, chosen, parts, pairs, here
+                    release_memory()
 
         return small_batches(rows(), window_arrow, 64)
 
@@ -255,6 +262,8 @@ def remove_repeats(blocks: DataFrame, repeats: DataFrame, k: int = WINDOW) -> Da
                 rows = pa.RecordBatch.from_arrays(columns, schema=arrow)
                 for start in range(0, n, 2000):
                     yield rows.slice(start, 2000)
+                del row, block, w, repeated, starts, edges, keep, kept, out, columns, rows
+                release_memory()
 
     return _with_answers(blocks, repeats).mapInArrow(remove, schema)
 
