@@ -52,6 +52,40 @@ def test_coder_learns_what_repeats():
     assert sum(map(len, idcoder.pack_ids(ids, 10_000)[1])) < len(ids) * 4 / 30
 
 
+def test_coder_works_out_a_strip_of_steps_at_once(monkeypatch):
+    # The encoder knows all ids, so that hashes and intervals need not be made step by step.
+    ids = (np.arange(40 * 256 + 100, dtype=np.uint32) ** 2 % 1009 % 60).astype(np.uint32)
+    calls = []
+    contexts = idcoder.Model.contexts
+    monkeypatch.setattr(idcoder.Model, "contexts", lambda *a: calls.append(1) or contexts(*a))
+    order0, blocks, sums = idcoder.pack_ids(ids, 256)
+    assert len(calls) <= 256 / 32 + 2
+    lengths = idcoder.block_lengths(len(ids), 256)
+    assert (idcoder.unpack_blocks(order0, blocks, lengths, sums) == ids).all()
+    # The bytes of files written before.
+    assert (sum(map(len, blocks)), zlib.crc32(b"".join(blocks))) == (7728, 208742969)
+
+
+def test_words_known_are_looked_up_as_a_column(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 30)
+    encoder = tokens.Encoder(tokens.default_vocabulary())
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: learned.extend(words) or learn(words))
+    rng = random.Random(7)
+    for turn in range(12):
+        texts = [None, "", *(" ".join(rng.choice("Ab né x, 語 w9. a\nb".split(" ")) * rng.randrange(1, 4) for _ in range(9)) for _ in range(5))]
+        forgot = len(encoder.known) > 30
+        known = set() if forgot else set(encoder.known.to_pylist())
+        before = len(learned)
+        ids, lengths = encoder.encode(pa.array(texts, pa.string()))
+        assert not known & set(learned[before:])
+        assert encoder.known.to_pylist()[len(known) :] == learned[before:]
+        ends = np.cumsum(lengths)
+        for text, a, b in zip(texts, ends - lengths, ends):
+            assert ids[a:b].tolist() == plain_ids(tokenizer, text, 0)[:-1]
+
+
 def test_id_files(docs, none, corpus, tokenizer):
     rows = sorted(corpus, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     start, expected = 0, []

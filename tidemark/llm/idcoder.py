@@ -29,8 +29,16 @@ TOTAL_BITS = 28
 LEAST_BITS = 5
 RATE = 5
 LEVELS = 8
+#: Steps whose intervals are worked out at once.
+STRIP = 32
+#: Blocks turned at once from rows of ids to columns of steps.
+TURN = 16
 
 U32, U64 = np.uint32, np.uint64
+# Operands of every step, as arrays: numpy takes them faster than numbers.
+ZERO, ONE, THREE, SEVEN, SIGN, SHIFT = (np.array(x, np.int32) for x in (0, 1, 3, LEVELS - 1, 31, RATE))
+TOTAL, HALF, WORD, LAST = (np.array(x, U64) for x in (TOTAL_BITS, 32, 1 << 32, (1 << TOTAL_BITS) - 1))
+MIX = [np.array(x, U32) for x in (0x9E3779B1, 1, 0x85EBCA6B, 0xC2B2AE35, 32 - TABLE_BITS)]
 
 
 @dataclass
@@ -60,122 +68,188 @@ class Order0:
 
 
 class Model:
-    """The state of all blocks of a call: predictions of orders 1 and 2 and their weights.
-
-    Ids are places in the order-0 table. A table entry is ``place * LEVELS + confidence``.
+    """The state of all blocks of a call: predictions of orders 2 and 1 and their weights.
+
+    Ids are places in the order-0 table. A table entry is ``place * LEVELS + confidence``. What
+    there is for both orders (tables, weights, the entries of a step) stands behind each
+    other: that of order 2 for every block, then that of order 1. In the tables the blocks of
+    one hash are neighbours, since common ids are looked up by many of them. Arrays of a step are made
+    once and written over, and choices are made by masks of signs, since a step is many small
+    operations.
     """
 
     def __init__(self, blocks: int, share_bits: int):
-        self.size = 1 << TABLE_BITS
-        self.base = np.arange(blocks, dtype=np.int32) << TABLE_BITS
-        self.first = np.zeros(blocks << TABLE_BITS, np.int32)
-        self.second = np.zeros(blocks << TABLE_BITS, np.int32)
-        self.weight_base = np.arange(blocks, dtype=np.int32) * (LEVELS * LEVELS)
-        self.one = 1 << share_bits
-        self.share_bits = share_bits
-        self.second_right = np.full(blocks * LEVELS * LEVELS, self.one >> 2, np.int32)
-        self.first_right = np.full(blocks * LEVELS * LEVELS, self.one >> 3, np.int32)
-        self.most = self.one - (self.one >> LEAST_BITS)
-        self.before = np.zeros(blocks, U32)
-        self.last = np.zeros(blocks, U32)
-
-    def predict(self) -> None:
-        """Sets the predicted places and their masses out of ``one``."""
-        last = self.last
-        self.at1 = self.base + ((last * U32(0x9E3779B1)) >> U32(32 - TABLE_BITS)).astype(np.int32)
-        mixed = (last + U32(1)) * U32(0x85EBCA6B) ^ (self.before * U32(0xC2B2AE35))
-        self.at2 = self.base + ((mixed * U32(0x9E3779B1)) >> U32(32 - TABLE_BITS)).astype(np.int32)
-        self.entry1 = self.first[self.at1]
-        self.entry2 = self.second[self.at2]
-        self.place1 = self.entry1 >> 3
-        self.place2 = self.entry2 >> 3
-        self.state = self.weight_base + ((self.entry2 & 7) << 3) + (self.entry1 & 7)
-        self.p2 = self.second_right[self.state]
-        self.p1 = self.first_right[self.state]
-        self.mass2 = np.minimum(self.p2, self.most)
-        self.mass1 = (np.minimum(self.p1, self.one - 1) * (self.one - self.mass2)) >> self.share_bits
-        self.mass1 = np.minimum(self.mass1, np.maximum(self.most - self.mass2, 0))
-        self.mass1[self.place1 == self.place2] = 0
-
-    def learn(self, places: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
-        """Moves weights and tables towards the places that came."""
-        one = np.int32(self.one)
-        self.second_right[self.state] = np.maximum(self.p2 + ((right2 * one - self.p2) >> RATE), 1)
+        self.blocks = blocks
+        self.table = np.zeros(2 * blocks << TABLE_BITS, np.int32)
+        one = 1 << share_bits
+        self.weights = np.repeat(np.array([one >> 2, one >> 3], np.int32), blocks * LEVELS * LEVELS)
+        self.one, self.most = np.int32(one), np.int32(one - (one >> LEAST_BITS))
+        self.least = np.int32(one >> LEAST_BITS)
+        self.share_bits = np.int32(share_bits)
+        # What is added to an entry that was wrong, then to one that was right, by confidence.
+        trust = np.arange(LEVELS)
+        self.moves = np.concatenate([-((trust + 1) >> 1), trust < LEVELS - 1]).astype(np.int32)
+        self.keep(blocks)
+
+    def keep(self, n: int) -> None:
+        """The first ``n`` blocks go on; those that have ended stand last."""
+        lanes = np.arange(n, dtype=np.int64)
+        self.n = n
+        self.base = np.concatenate([lanes, lanes + (self.blocks << TABLE_BITS)])
+        self.weight_base = np.concatenate([lanes, lanes + self.blocks * LEVELS * LEVELS])
+        self.trust, self.right, self.move, self.new = (np.empty(2 * n, np.int32) for _ in range(4))
+        self.stride = np.array(self.blocks, np.int64)
+        self.joint, self.row = np.empty(n, np.int32), np.empty(n, np.int64)
+        self.state, self.which = np.empty(2 * n, np.int64), np.empty(2 * n, np.int64)
+
+    def contexts(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Where the entries of both orders are after ``before`` and ``last`` (rows of steps, or one)."""
+        hashes = np.concatenate([(last + MIX[1]) * MIX[2] ^ (before * MIX[3]), last], axis=-1)
+        hashes *= MIX[0]
+        hashes >>= MIX[4]
+        return hashes * self.stride + self.base
+
+    def look(self, at: np.ndarray, entry: np.ndarray, p: np.ndarray) -> None:
+        """Fills in a step's entries and weights."""
+        n = self.n
+        self.table.take(at, None, entry, "clip")
+        np.bitwise_and(entry, SEVEN, self.trust)
+        np.left_shift(self.trust[:n], THREE, self.joint)
+        np.add(self.joint, self.trust[n:], self.joint)
+        np.multiply(self.joint, self.stride, self.row)
+        np.add(self.weight_base[:n], self.row, self.state[:n])
+        np.add(self.weight_base[n:], self.row, self.state[n:])
+        self.weights.take(self.state, None, p, "clip")
+
+    def masses(self, guess: np.ndarray, p: np.ndarray, mass: np.ndarray) -> np.ndarray:
+        """Fills in the masses of orders 2 and 1 out of ``one``, for a step or rows of steps; gives that of order 0."""
+        n = self.n
+        mass2, mass1 = mass[..., :n], mass[..., n:]
+        np.minimum(p[..., :n], self.most, mass2)
+        rest = self.one - mass2
+        np.multiply(p[..., n:], rest, mass1)
+        mass1 >>= self.share_bits
+        np.minimum(mass1, rest - self.least, mass1)
+        mass1 *= guess[..., :n] != guess[..., n:]
+        rest -= mass1
+        return rest
+
+    def learn(self, at: np.ndarray, entry: np.ndarray, p: np.ndarray, right: np.ndarray, came: np.ndarray) -> None:
+        """Moves weights and tables towards what came (entries of no confidence); ``right`` says which places did."""
+        n, move, new = self.n, self.move, self.new
+        self.right[:] = right
+        np.multiply(self.right, self.one, move)
+        move -= p
+        move >>= SHIFT
         # Order 1 is judged where order 2 was wrong.
-        moved = np.maximum(self.p1 + ((right1 * one - self.p1) >> RATE), 1)
-        self.first_right[self.state] = np.where(right2, self.p1, moved)
-        for table, at, entry in ((self.first, self.at1, self.entry1), (self.second, self.at2, self.entry2)):
-            trust = entry & 7
-            right = (entry >> 3) == places
-            up = entry + (trust < LEVELS - 1)
-            down = np.where(trust > 0, entry - ((trust + 1) >> 1), places << 3)
-            table[at] = np.where(right, up, down)
-        self.before = self.last
-        self.last = places.astype(U32)
+        move[n:] *= np.subtract(ONE, self.right[:n], self.joint)
+        move += p
+        np.maximum(move, ONE, move)
+        self.weights[self.state] = move
+        np.left_shift(self.right, THREE, self.right)
+        np.add(self.right, self.trust, self.right)
+        self.which[:] = self.right
+        self.moves.take(self.which, None, new, "clip")
+        new += entry
+        # A wrong entry of no confidence gives way: all bits of a mask are set there.
+        self.right -= ONE
+        self.right >>= SIGN
+        np.bitwise_xor(new, came, move)
+        move &= self.right
+        new ^= move
+        self.table[at] = new
+
+
+def _strips(lengths: np.ndarray) -> list[tuple[int, int, int]]:
+    """First step, last step and blocks of stretches in which no block ends. Lengths must not rise."""
+    steps = int(lengths[0]) if len(lengths) else 0
+    cuts = np.unique(np.concatenate([np.arange(0, steps, STRIP), lengths[lengths > 0], [steps]]))
+    counts = np.searchsorted(-lengths, -cuts[:-1], side="left")
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), counts.tolist()))
 
 
 def encode_blocks(places: np.ndarray, lengths: np.ndarray, order0: Order0) -> list[bytes]:
     """``places`` is steps by blocks; a block ends after its length. Lengths must not rise."""
-    steps, blocks = places.shape
-    share_bits = TOTAL_BITS - order0.bits
-    model = Model(blocks, share_bits)
+    blocks = places.shape[1]
+    bits = order0.bits
+    model = Model(blocks, TOTAL_BITS - bits)
     freq0 = order0.freq.astype(np.int32)
     start0 = order0.starts.astype(np.int32)
     low = np.zeros(blocks, U64)
     span = np.full(blocks, (1 << 64) - 1, U64)
-    out = np.zeros((blocks, 64), U32)
+    room = 64
+    out = np.zeros(blocks * room, U32)
+    at_out = np.arange(blocks, dtype=np.int64) * room
     size = np.zeros(blocks, np.int64)
-    one = model.one
-    ending = np.searchsorted(-lengths, -np.arange(steps), side="left")  # blocks with a step left
-    for t in range(steps):
-        n = int(ending[t])
-        if n < len(low):
-            _finish(out, size, low, n)
-            low, span = low[:n], span[:n]
-            _shrink(model, n)
-        here = places[t, :n]
-        model.predict()
-        right2 = here == model.place2
-        right1 = (here == model.place1) & ~right2
-        rest = one - model.mass2 - model.mass1
-        hit1 = right1 & (model.mass1 > 0)
-        part2, part1 = model.mass2 << order0.bits, model.mass1 << order0.bits
-        start = np.where(hit1, part2, part2 + part1 + rest * start0[here])
-        start[right2] = 0
-        freq = np.where(right2, part2, np.where(hit1, part1, rest * freq0[here]))
-        start, freq = start.astype(U64), freq.astype(U64)
-        unit = span >> U64(TOTAL_BITS)
-        moved = low + unit * start
-        over = moved < low
-        if over.any():
-            _carry(out, size, np.flatnonzero(over))
-        low = moved
-        span = unit * freq
-        full = np.flatnonzero(span < U64(1 << 32))
-        if len(full):
-            if int(size[full].max()) + 4 >= out.shape[1]:
-                out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            out[full, size[full]] = (low[full] >> U64(32)).astype(U32)
-            size[full] += 1
-            low[full] <<= U64(32)
-            span[full] <<= U64(32)
-        model.learn(here, right2, right1)
+    past = np.zeros((2, blocks), np.int32)  # the ids before the strip
+    for a, b, n in _strips(lengths):
+        if n < model.n:
+            size[n : model.n] = at_out[n:] - np.arange(n, model.n) * room
+            model.keep(n)
+            _finish(out.reshape(blocks, room), size, low, n)
+            low, span, at_out, past = low[:n], span[:n], at_out[:n], past[:, :n]
+        most = int((at_out - np.arange(n) * room).max())
+        if most + STRIP + 4 > room:
+            # One id puts out a word at most.
+            more = most + 8 * STRIP
+            out = np.concatenate([out.reshape(blocks, room), np.zeros((blocks, more - room), U32)], axis=1).reshape(-1)
+            at_out += np.arange(n) * (more - room)
+            room = more
+        # What the model says of each step, then the intervals of the strip at once.
+        here = places[a:b, :n]
+        seen = np.concatenate([past, here])
+        past = seen[-2:]
+        seen = seen.view(U32)
+        at = model.contexts(seen[1:-1], seen[:-2])
+        both = np.concatenate([here, here], axis=1)
+        came = both << THREE
+        entries, p = np.empty((b - a, 2 * n), np.int32), np.empty((b - a, 2 * n), np.int32)
+        rights, guess = np.empty((b - a, 2 * n), bool), np.empty((b - a, 2 * n), np.int32)
+        for at_t, entry, p_t, guess_t, both_t, right, came_t in zip(at, entries, p, guess, both, rights, came):
+            model.look(at_t, entry, p_t)
+            np.right_shift(entry, THREE, guess_t)
+            np.equal(guess_t, both_t, right)
+            model.learn(at_t, entry, p_t, right, came_t)
+        # Rows of choices: order 2, order 1, order 0.
+        starts, freqs = np.zeros((b - a, 3 * n), np.int32), np.empty((b - a, 3 * n), np.int32)
+        mass = freqs[:, : 2 * n]
+        rest = model.masses(guess, p, mass)
+        right2, hit1 = rights[:, :n], rights[:, n:] & (mass[:, n:] > 0)
+        mass <<= bits
+        starts[:, n : 2 * n] = mass[:, :n]
+        np.multiply(rest, start0[here], starts[:, 2 * n :])
+        starts[:, 2 * n :] += mass[:, :n]
+        starts[:, 2 * n :] += mass[:, n:]
+        np.multiply(rest, freq0[here], freqs[:, 2 * n :])
+        chosen = (2 - hit1) * ~right2 * n + np.arange(n) + np.arange(b - a)[:, None] * (3 * n)
+        start, freq = starts.reshape(-1)[chosen].astype(U64), freqs.reshape(-1)[chosen].astype(U64)
+        for start_t, freq_t in zip(start, freq):
+            span >>= TOTAL
+            start_t *= span
+            low += start_t
+            over = low < start_t
+            if over.any():
+                _carry(out, at_out[over.nonzero()[0]])
+            span *= freq_t
+            full = (span < WORD).nonzero()[0]
+            if len(full):
+                words, to = low[full], at_out[full]
+                out[to] = words >> HALF
+                at_out[full] = to + 1
+                low[full] = words << HALF
+                span[full] <<= HALF
+    size[: model.n] = at_out - np.arange(model.n) * room
+    out = out.reshape(blocks, room)
     _finish(out, size, low, 0)
     return [out[i, : size[i]].astype("<u4").tobytes() for i in range(blocks)]
 
 
-def _shrink(model: Model, n: int) -> None:
-    """Blocks that have ended stand last; the others go on alone."""
-    for name in ("base", "weight_base", "before", "last"):
-        setattr(model, name, getattr(model, name)[:n])
-
-
-def _carry(out: np.ndarray, size: np.ndarray, blocks: np.ndarray) -> None:
-    at = size[blocks] - 1
-    while len(blocks):
-        out[blocks, at] += U32(1)
-        over = out[blocks, at] == 0
-        blocks, at = blocks[over], at[over] - 1
+def _carry(out: np.ndarray, at: np.ndarray) -> None:
+    """Adds one to the last word written of some blocks, ``at`` being where each writes next."""
+    at = at - 1
+    while len(at):
+        out[at] += U32(1)
+        at = at[out[at] == 0] - 1
 
 
 def _finish(out: np.ndarray, size: np.ndarray, low: np.ndarray, n: int) -> None:
@@ -190,48 +264,68 @@ def decode_blocks(payloads: list[bytes], lengths: np.ndarray, order0: Order0) ->
     """The places again, steps by blocks. Lengths must not rise."""
     blocks = len(payloads)
     steps = int(lengths[0]) if blocks else 0
-    share_bits = TOTAL_BITS - order0.bits
-    model = Model(blocks, share_bits)
+    bits = np.int32(order0.bits)
+    model = Model(blocks, TOTAL_BITS - order0.bits)
     freq0 = order0.freq.astype(np.int32)
     start0 = order0.starts.astype(np.int32)
-    slots = np.repeat(np.arange(len(freq0), dtype=np.int32), freq0)
+    slots = np.repeat(np.arange(len(freq0), dtype=np.int64), freq0)
     sizes = np.array([len(p) // 4 for p in payloads], np.int64)
-    words = np.frombuffer(b"".join(payloads), "<u4").astype(U64)
+    words = np.frombuffer(b"".join(payloads), "<u4")
     ends = np.cumsum(sizes)
-    at = ends - sizes
-    code = (words[at] << U64(32)) | words[at + 1]
-    at = at + 2
+    at_in = ends - sizes
+    code = (words[at_in].astype(U64) << HALF) | words[at_in + 1]
+    at_in = at_in + 2
     span = np.full(blocks, (1 << 64) - 1, U64)
     places = np.zeros((steps, blocks), np.int32)
-    one = model.one
-    ending = np.searchsorted(-lengths, -np.arange(steps), side="left")
-    for t in range(steps):
-        n = int(ending[t])
+    last, before = np.zeros(blocks, U32), np.zeros(blocks, U32)
+    for a, b, n in _strips(lengths):
         if n < len(code):
-            code, span, at = code[:n], span[:n], at[:n]
-            _shrink(model, n)
-        model.predict()
-        mass = model.mass2 + model.mass1
-        unit = span >> U64(TOTAL_BITS)
-        value = np.minimum(code // unit, U64((1 << TOTAL_BITS) - 1)).astype(np.int32)
-        part2, parts = model.mass2 << order0.bits, mass << order0.bits
-        right2 = value < part2
-        hit1 = ~right2 & (value < parts)
-        rest = one - mass
-        literal = slots[np.maximum(value - parts, 0).astype(U32) // rest.astype(U32)]
-        here = np.where(right2, model.place2, np.where(hit1, model.place1, literal))
-        start = np.where(hit1, part2, parts + rest * start0[literal])
-        start[right2] = 0
-        freq = np.where(right2, part2, np.where(hit1, parts - part2, rest * freq0[literal]))
-        code = code - unit * start.astype(U64)
-        span = unit * freq.astype(U64)
-        full = np.flatnonzero(span < U64(1 << 32))
-        if len(full):
-            code[full] = (code[full] << U64(32)) | words[np.minimum(at[full], len(words) - 1)]
-            at[full] += 1
-            span[full] <<= U64(32)
-        places[t, :n] = here
-        model.learn(here, here == model.place2, (here == model.place1) & (here != model.place2))
+            code, span, at_in, last, before = code[:n], span[:n], at_in[:n], last[:n], before[:n]
+        if n < model.n:
+            model.keep(n)
+        entry, p, mass, came = (np.empty(2 * n, np.int32) for _ in range(4))
+        # Rows of choices: order 2, order 1, order 0.
+        guess, start, freq = (np.zeros(3 * n, np.int32) for _ in range(3))
+        guess12, lanes, which = guess[: 2 * n], np.arange(2 * n, 3 * n), np.int32(n)
+        part2, part1, both = freq[:n], freq[n : 2 * n], freq[: 2 * n]
+        value, chosen = np.empty(n, np.int32), np.empty(n, np.int64)
+        for t in range(a, b):
+            at = model.contexts(last, before)
+            model.look(at, entry, p)
+            np.right_shift(entry, THREE, guess12)
+            rest = model.masses(guess12, p, mass)
+            np.left_shift(mass, bits, both)
+            start[n : 2 * n] = part2
+            span >>= TOTAL
+            value[:] = np.minimum(code // span, LAST)
+            # -1 where order 2 was right, less one where it was order 2 or 1.
+            first = (value - part2) >> SIGN
+            parts = part2 + part1
+            value -= parts
+            first += value >> SIGN
+            first *= which
+            np.add(lanes, first, chosen)
+            # Exact in 53 bits: the quotient of two small numbers.
+            literal = slots.take((np.maximum(value, ZERO, value) / rest).astype(np.int64), None, None, "clip")
+            guess[2 * n :] = literal
+            np.multiply(rest, start0.take(literal), start[2 * n :])
+            start[2 * n :] += parts
+            np.multiply(rest, freq0.take(literal), freq[2 * n :])
+            here = guess.take(chosen, None, places[t, :n], "clip")
+            code -= span * start.take(chosen).view(U32)
+            span *= freq.take(chosen).view(U32)
+            full = (span < WORD).nonzero()[0]
+            if len(full):
+                of = at_in[full]
+                code[full] = (code[full] << HALF) | words.take(of, None, None, "clip")
+                at_in[full] = of + 1
+                span[full] <<= HALF
+            came[:n] = here
+            came[n:] = here
+            right = guess12 == came
+            came <<= THREE
+            model.learn(at, entry, p, right, came)
+            before, last = last, here.view(U32)
     return places
 
 
@@ -245,9 +339,14 @@ def pack_ids(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[Order0, list[
     lengths = block_lengths(len(ids), block_ids)
     if not blocks:
         return order0, [], []
-    padded = np.zeros(blocks * block_ids, np.int32)
-    padded[: len(ids)] = place[ids]
-    coded = encode_blocks(np.ascontiguousarray(padded.reshape(blocks, block_ids).T[: lengths[0]]), lengths, order0)
+    places = np.zeros((int(lengths[0]), blocks), np.int32)
+    for i in range(0, blocks, TURN):
+        part = place[ids[i * block_ids : (i + TURN) * block_ids]]
+        full = len(part) // block_ids
+        if full:
+            places[:, i : i + full] = part[: full * block_ids].reshape(full, block_ids).T
+        places[: len(part) - full * block_ids, i + full : i + TURN] = part[full * block_ids :, None]
+    coded = encode_blocks(places, lengths, order0)
     raw = ids.astype("<u4").tobytes()
     sums = [zlib.crc32(raw[4 * i * block_ids : 4 * (i + 1) * block_ids]) for i in range(blocks)]
     return order0, coded, sums
@@ -264,11 +363,13 @@ def unpack_blocks(order0: Order0, payloads: list[bytes], lengths: np.ndarray, su
     if not payloads:
         return np.zeros(0, U32)
     places = decode_blocks(payloads, lengths, order0)
-    ids = order0.ids[places.T]
-    parts = []
-    for i, n in enumerate(lengths.tolist()):
-        part = np.ascontiguousarray(ids[i, :n])
-        if zlib.crc32(part.astype("<u4").tobytes()) != sums[i]:
-            raise ValueError(f"block {i} is damaged")
-        parts.append(part)
-    return np.concatenate(parts)
+    ends = np.cumsum(lengths)
+    out = np.empty(int(ends[-1]), U32)
+    for i in range(0, len(payloads), TURN):
+        ids = order0.ids[np.ascontiguousarray(places[:, i : i + TURN].T)]
+        for j, part in enumerate(ids, i):
+            part = part[: lengths[j]]
+            if zlib.crc32(part.astype("<u4", copy=False)) != sums[j]:
+                raise ValueError(f"block {j} is damaged")
+            out[ends[j] - len(part) : ends[j]] = part
+    return out

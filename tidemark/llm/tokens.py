@@ -57,7 +57,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros((1 << 14) + 1, np.int64)
 
@@ -66,18 +66,9 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Adds words, each encoded behind a space."""
-        batch: list[str] = []
-        size = 0
-        found = []
-        for word in words:
-            batch.append(word)
-            size += len(word) + 1
-            if size >= PIECE_CHARS:
-                found += self._encode([" " + " ".join(batch)])
-                batch, size = [], 0
-        if batch:
-            found += self._encode([" " + " ".join(batch)])
-        ids = np.concatenate(found)
+        sizes = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        cuts = np.unique(np.append(np.searchsorted(sizes, np.arange(0, int(sizes[-1]), PIECE_CHARS)), len(words))).tolist()
+        ids = np.concatenate([self._encode([" " + " ".join(words[a:b])])[0] for a, b in zip(cuts, cuts[1:])])
         starts = np.flatnonzero(self.after_space[ids])
         if len(starts) != len(words):
             raise RuntimeError("a word was not kept apart by the tokenizer")
@@ -90,7 +81,7 @@ class Encoder:
         self.ids[end : end + len(ids)] = ids
         self.starts[have : have + len(words)] = end + starts
         self.starts[have + len(words)] = end + len(ids)
-        self.known.update(zip(words, range(have, have + len(words))))
+        self.known = pa.concat_arrays([self.known, pa.array(words, pa.large_string())])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has; a null text has none."""
@@ -105,7 +96,7 @@ class Encoder:
         del parts
         codes = coded.indices.to_numpy(zero_copy_only=False)
         odd = _odd_ends(coded.dictionary)
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.cast(pa.large_string())
         firsts = np.cumsum(counts) - counts
         whole = np.zeros(n, bool)
         if odd.any():
@@ -116,18 +107,19 @@ class Encoder:
         used[codes[inner]] = True
         if len(self.known) > CACHE_WORDS:
             self._forget()
-        wanted = np.flatnonzero(used)
-        asked = [words[i] for i in wanted.tolist()]
-        new = [w for w in asked if w not in self.known]
-        if new:
-            self._learn(new)
-        place = np.zeros(len(words), np.int32)
-        place[wanted] = np.fromiter(map(self.known.__getitem__, asked), np.int32, len(asked))
+        # Looked up as a column: only words not seen before become Python's.
+        found = pc.index_in(words, value_set=self.known)
+        place = found.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int32)
+        new = np.flatnonzero(used & found.is_null().to_numpy(zero_copy_only=False))
+        if len(new):
+            place[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self._learn(words.take(pa.array(new)).to_pylist())
 
         # Pieces in the order of the texts: what stands first or a whole text, then its words.
         rows = texts.to_pylist() if whole.any() else None
-        heads = self._encode([rows[i] if whole[i] else words[codes[firsts[i]]] for i in range(n)]) if n else []
-        del rows, words, asked, new
+        first_words = words.take(pa.array(codes[firsts])).to_pylist()
+        heads = self._encode([rows[i] if whole[i] else first_words[i] for i in range(n)]) if n else []
+        del rows, words, first_words, found, new
         head_len = np.array([len(h) for h in heads], np.int32)
         pool = np.concatenate([self.ids[: self.starts[len(self.known)]], *heads])
         place = place[codes]
