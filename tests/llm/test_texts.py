@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import components, contamination, language, maxent, neardup, quality, substrings, toxicity
+from tidemark.llm import blocks, components, contamination, language, maxent, neardup, quality, substrings, toxicity
 from tidemark.llm.blocks import pack_ints, pack_words
 from tidemark.llm.tables import stored
 
@@ -352,6 +352,72 @@ def test_windows_of_one_block_are_held_at_a_time(spark):
     assert most / (8 * n) < 18
 
 
+@pytest.mark.parametrize("step", ["signatures", "shingle_sets"])
+def test_shingles_of_some_texts_of_a_block_are_held_at_a_time(spark, step):
+    import pyarrow as pa
+
+    class Blocks:
+        """Takes the function that goes through blocks; no job runs."""
+
+        def join(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+    n, rng = 600_000, np.random.default_rng(7)
+    lengths = np.concatenate([rng.integers(0, 40, 50), rng.integers(300, 500, 2000)])
+    lengths = lengths[np.cumsum(lengths) <= n]
+    rng.shuffle(lengths)
+    codes, vocab = rng.integers(0, 500, lengths.sum()), [f"w{j}" for j in range(500)]
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+
+    def row(first, last):
+        made = {"block_id": first, "first_row": first, "doc_ids": [*range(first, last)], "lengths": pack_ints(lengths[first:last])}
+        made |= {"codes": pack_ints(codes[starts[first] : starts[last]]), "vocab": pack_words(pa.array(vocab)), "rows": [*range(first, last)]}
+        return pa.RecordBatch.from_pylist([made])
+
+    taken = Blocks()
+    if step == "signatures":
+        neardup.signatures(taken)
+    else:
+        neardup.shingle_sets(taken, spark.range(0).selectExpr("id row_id", "id block_id"))
+
+    def found(rows):
+        return {r["row_id"]: {k: v for k, v in r.items() if k != "block_id"} for b in taken.run(iter(rows)) for r in b.to_pylist()}
+
+    tracemalloc.start()
+    try:
+        whole = [row(0, len(lengths))]
+        assert sum(b.num_rows for b in taken.run(iter(whole))) == len(lengths)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Arrays of a number a word.
+    assert most / (8 * n) < 8, most / (8 * n)
+    single = found([row(i, i + 1) for i in range(0, len(lengths), 9)])
+    both = found(whole)
+    assert len(both) == len(lengths) and {i: both[i] for i in single} == single
+
+
+def test_texts_and_sets_go_to_python_in_small_batches(spark, docs, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    before = spark.conf.get(name)
+
+    def noted(df, table):
+        seen[table] = spark.conf.get(name)
+        return stored(df, table)
+
+    for module in (blocks, neardup, toxicity):
+        monkeypatch.setattr(module, "stored", noted)
+    neardup.near_duplicates(docs).count()
+    toxicity.learn(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, toxic int"))
+    asked = ("neardup-blocks", "signatures", "shingles", "compared", "bucket-links", "toxicity-training")
+    assert {t: seen[t] for t in asked} == {t: seen["signatures"] for t in asked}
+    assert seen["signatures"] != before == spark.conf.get(name)
+
+
 def test_toxicity_sends_the_text_once(spark, docs, tmp_path, monkeypatch):
     import corpus_pipeline
 

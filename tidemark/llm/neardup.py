@@ -43,7 +43,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.llm.blocks import Block, mixed, read_blocks, release_memory, rolling_hashes, small_batches, word_blocks, word_hashes
 from tidemark.llm.components import components
-from tidemark.llm.tables import SHUFFLES_GO, setting, stored
+from tidemark.llm.tables import BATCH_BYTES, SHUFFLES_GO, SMALL_BATCH, setting, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -60,6 +60,8 @@ CLASS_ROUNDS = 4
 ROW_TEXTS = 128
 ROW_BYTES = 4 << 20
 ITEM_SLICE = 8192
+#: Words of a block whose shingles are held at a time; a longer text is held alone.
+PART_WORDS = 1 << 17
 #: Bucket members, and bytes of their shingles, for which the rounds have one task more.
 TASK_MEMBERS, TASK_BYTES = 50_000, 32 << 20
 
@@ -72,10 +74,10 @@ SIGNATURES = "row_id long, block_id long, doc_id long, size long, h1 long, h2 lo
 
 
 class Shingles:
-    """The shingles of a block's documents: hash, owner and weight, by owner."""
+    """The shingles of a block's documents: hash, owner and weight, by owner; ``vocabulary`` has the hashes of its words."""
 
-    def __init__(self, block: Block, k: int = SHINGLE):
-        words = word_hashes(block.vocab, WORD_SEED)[block.codes] if block.vocab else np.zeros(0, np.uint64)
+    def __init__(self, block: Block, vocabulary: np.ndarray, k: int = SHINGLE):
+        words = vocabulary[block.codes]
         starts = block.window_starts(k)
         hashes = rolling_hashes(words, starts, k, BASE)
         owners = block.owners()[starts]
@@ -170,31 +172,37 @@ def signatures(blocks: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: in
     """Band keys and sequence hashes of every document with a word; no keys for the others."""
     arrow = to_arrow_schema(StructType.fromDDL(SIGNATURES))
 
+    def signed(row_ids: np.ndarray, block: Block, vocabulary: np.ndarray) -> pa.RecordBatch:
+        shingles = Shingles(block, vocabulary, k)
+        n = len(block.lengths)
+        found = dart_signatures(shingles.owners, shingles.hashes, shingles.weights, n, bands * rows)
+        keys = np.zeros((n, bands), np.uint64)
+        for row in range(rows):
+            keys = mixed(keys * STEP + found[:, row::rows])
+        keys = mixed(keys + np.arange(1, bands + 1, dtype=np.uint64) * STEP).view(np.int64)
+        words = block.lengths > 0
+        offsets = np.concatenate([[0], np.cumsum(np.where(words, bands, 0))]).astype(np.int32)
+        h1, h2 = (sequence_hashes(shingles.words, block.starts, b).view(np.int64) for b in SEQUENCE_BASES)
+        columns = [
+            pa.array(row_ids),
+            pa.array(np.full(n, block.block_id)),
+            pa.array(block.doc_ids, pa.int64()),
+            pa.array(np.bincount(shingles.owners, weights=shingles.weights, minlength=n).astype(np.int64)),
+            pa.array(h1),
+            pa.array(h2),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[words].ravel())),
+        ]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
     def sign(batches):
         for block in read_blocks(batches):
-            shingles = Shingles(block, k)
-            n = len(block.lengths)
-            found = dart_signatures(shingles.owners, shingles.hashes, shingles.weights, n, bands * rows)
-            keys = np.zeros((n, bands), np.uint64)
-            for row in range(rows):
-                keys = mixed(keys * STEP + found[:, row::rows])
-            keys = mixed(keys + np.arange(1, bands + 1, dtype=np.uint64) * STEP).view(np.int64)
-            words = block.lengths > 0
-            offsets = np.concatenate([[0], np.cumsum(np.where(words, bands, 0))]).astype(np.int32)
-            h1, h2 = (sequence_hashes(shingles.words, block.starts, b).view(np.int64) for b in SEQUENCE_BASES)
-            columns = [
-                pa.array(np.arange(block.first_row, block.first_row + n)),
-                pa.array(np.full(n, block.block_id)),
-                pa.array(block.doc_ids, pa.int64()),
-                pa.array(np.bincount(shingles.owners, weights=shingles.weights, minlength=n).astype(np.int64)),
-                pa.array(h1),
-                pa.array(h2),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[words].ravel())),
-            ]
-            out = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
-            del block, shingles, found, keys, h1, h2, columns
-            for i in range(0, n, 4096):
-                yield out.slice(i, 4096)
+            vocabulary = word_hashes(block.vocab, WORD_SEED)
+            # Short texts come together: the shorter a text, the more often each of its shingles throws.
+            for docs, part in block.parts(np.argsort(block.lengths, kind="stable"), PART_WORDS):
+                out = signed(block.first_row + docs, part, vocabulary)
+                for i in range(0, out.num_rows, 4096):
+                    yield out.slice(i, 4096)
+            del block, vocabulary, docs, part, out
 
     return blocks.mapInArrow(sign, SIGNATURES)
 
@@ -209,15 +217,17 @@ def shingle_sets(blocks: DataFrame, wanted: DataFrame, k: int = SHINGLE) -> Data
                 for i in range(batch.num_rows):
                     row = batch.slice(i, 1).to_pylist()[0]
                     block = Block(row)
-                    shingles = Shingles(block, k)
-                    edges = np.searchsorted(shingles.owners, np.arange(len(block.lengths) + 1))
-                    for row_id in sorted(row["rows"]):
-                        a, b = edges[row_id - block.first_row], edges[row_id - block.first_row + 1]
-                        weights = shingles.weights[a:b]
-                        nth = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
-                        items = mixed(np.repeat(shingles.hashes[a:b], weights) + nth.astype(np.uint64) * STEP)
-                        yield {"row_id": row_id, "items": pack48(np.sort(items >> np.uint64(16)))}
-                    del row, block, shingles
+                    vocabulary = word_hashes(block.vocab, WORD_SEED)
+                    wanted_docs = np.array(sorted(row["rows"])) - block.first_row
+                    for docs, part in block.parts(wanted_docs, PART_WORDS):
+                        shingles = Shingles(part, vocabulary, k)
+                        edges = np.searchsorted(shingles.owners, np.arange(len(docs) + 1))
+                        for doc, a, b in zip(docs, edges[:-1], edges[1:]):
+                            weights = shingles.weights[a:b]
+                            nth = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
+                            items = mixed(np.repeat(shingles.hashes[a:b], weights) + nth.astype(np.uint64) * STEP)
+                            yield {"row_id": int(block.first_row + doc), "items": pack48(np.sort(items >> np.uint64(16)))}
+                    del row, block, vocabulary, docs, part, shingles
                     release_memory()
 
         return small_batches(each(), arrow, 512)
@@ -406,9 +416,14 @@ def near_links(blocks: DataFrame, firsts: DataFrame, least: float = SIMILARITY,
     """``row_id, component`` of the documents linked to another, of ``row_id, block_id, size, keys``."""
     spark = blocks.sparkSession
     start = stored(bucket_members(firsts, least), "members")
-    sets = stored(shingle_sets(blocks, start.select("block_id", "row_id").distinct(), k), "shingles")
+    with setting(spark, BATCH_BYTES, SMALL_BATCH):
+        sets = stored(shingle_sets(blocks, start.select("block_id", "row_id").distinct(), k), "shingles")
     tasks = _round_tasks(start, firsts)
-    with setting(spark, "spark.sql.shuffle.partitions", str(tasks)), setting(spark, SHUFFLES_GO, "true"):
+    with (
+        setting(spark, "spark.sql.shuffle.partitions", str(tasks)),
+        setting(spark, SHUFFLES_GO, "true"),
+        setting(spark, BATCH_BYTES, SMALL_BATCH),
+    ):
         classes = _linked(start, sets, least)
     if classes is None:
         return firsts.select("row_id", F.col("row_id").alias("component")).limit(0)
@@ -497,7 +512,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
 
 
 def classes_of(blocks: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
-    rows = stored(signatures(blocks, k), "signatures")
+    with setting(blocks.sparkSession, BATCH_BYTES, SMALL_BATCH):
+        rows = stored(signatures(blocks, k), "signatures")
     worded = rows.where(F.size("keys") > 0)
     copies = worded.groupBy("h1", "h2").agg(F.min("row_id").alias("first_row"))
     firsts = worded.join(copies.select(F.col("first_row").alias("row_id")), "row_id", "left_semi").select("row_id", "block_id", "size", "keys")
